@@ -6,7 +6,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Plain decimal or exponent notation. Without this guard a cast to double also takes '12d'.
-NUMBER_PATTERN = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+# Possessive, as no part can give back what it matched.
+NUMBER_PATTERN = r"^\s*+[+-]?+(?:\d++\.?+\d*+|\.\d++)(?:[eE][+-]?+\d++)?+\s*+$"
 
 
 def plain_number(c: Column) -> Column:

@@ -21,11 +21,20 @@ from skillscope.sources.tables import constant_rows
 
 
 def explode_list(
-    df: DataFrame, list_col: str, ids: Sequence[str], out: str = "skill_name", sep: str = ";"
+    df: DataFrame,
+    list_col: str,
+    ids: Sequence[str],
+    out: str = "skill_name",
+    sep: str = ";",
+    names: Sequence[str] | None = None,
 ) -> DataFrame:
-    """One row per non-empty trimmed token; repeats inside a list stay."""
+    """One row per non-empty trimmed token, or per token among ``names``; repeats inside a list
+    stay."""
     tokens = df.select(*ids, F.explode(split_list(F.col(list_col), sep)).alias(out))
-    return tokens.withColumn(out, trim_spaces(F.col(out))).filter(F.col(out) != "")
+    trimmed = tokens.withColumn(out, trim_spaces(F.col(out)))
+    if names is None:
+        return trimmed.filter(F.col(out) != "")
+    return trimmed.filter(F.col(out).isin([n for n in names if n]))
 
 
 def list_token_benchmark(
@@ -42,9 +51,7 @@ def list_token_benchmark(
     ``names`` keeps only these tokens, before anything is grouped.
     """
     paid = survey.filter(F.col(value_col).isNotNull())
-    tokens = explode_list(paid, list_col, [value_col], sep=sep)
-    if names is not None:
-        tokens = tokens.filter(F.col("skill_name").isin(list(names)))
+    tokens = explode_list(paid, list_col, [value_col], sep=sep, names=names)
     respondents = F.col("so_respondent_count") >= min_count
     if not with_median:
         return tokens.groupBy("skill_name").agg(
@@ -66,10 +73,6 @@ def list_token_benchmark(
     )
 
 
-def spec_names(spec: Mapping[str, Sequence[str]] = BENCHMARK_SPEC) -> list[str]:
-    return sorted({n for names in spec.values() for n in names})
-
-
 def benchmark_pivot(
     bench: DataFrame, spec: Mapping[str, Sequence[str]] = BENCHMARK_SPEC
 ) -> DataFrame:

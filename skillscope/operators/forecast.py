@@ -10,9 +10,11 @@ from __future__ import annotations
 
 import hashlib
 import logging
+import sys
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,6 +24,9 @@ from skillscope.schemas import FORECAST_SCHEMA
 
 log = logging.getLogger(__name__)
 
+# The fitting code travels with the task, so executors need numpy and pandas but not this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # 80 % interval, prior widths and changepoint layout of the published model.
 INTERVAL_Z = 1.28155
 INTERVAL = (0.1, 0.9)
@@ -128,6 +133,8 @@ def piecewise_forecast(skill: str, months: pd.Series, y: pd.Series, horizon: int
     days = pd.to_datetime(months)
     order = np.argsort(days.to_numpy())
     days, values = days.iloc[order], y.to_numpy(dtype=float)[order]
+    if not np.isfinite(values).all():
+        raise ValueError("a value is not finite")
     future = pd.date_range(days.iloc[-1], periods=horizon + 1, freq="MS")[1:]
     origin, width = days.iloc[0], days.iloc[-1] - days.iloc[0]
     ahead = ((future - origin) / width).to_numpy(dtype=float)

@@ -13,7 +13,6 @@ from skillscope.defaults import (
 )
 from skillscope.operators.benchmarks import (
     benchmark_pivot, compare_to_benchmark, flag_stats, list_token_benchmark, masked_benchmark,
-    spec_names,
 )
 from skillscope.operators.medians import grouped_median, value_counts
 from skillscope.operators.tagging import flag_columns, keyword_flags, unpivot_flags
@@ -23,13 +22,24 @@ def _sorted(df: DataFrame, ordered: bool, *order: Column) -> DataFrame:
     return df.orderBy(*order) if ordered else df
 
 
+def survey_benchmarks(
+    survey: DataFrame,
+    spec: Mapping[str, Sequence[str]] = BENCHMARK_SPEC,
+    label_map: Mapping[str, str] = COMPARISON_MAP,
+    min_count: int = MIN_RESPONDENTS,
+) -> DataFrame:
+    """Average survey pay of just the names that enrichment and comparison look up: never more rows
+    than those two constants list."""
+    names = {*label_map.values(), *(n for wanted in spec.values() for n in wanted)}
+    return list_token_benchmark(survey, min_count=min_count, names=sorted(names))
+
+
 def enrich_postings(
     staged: DataFrame,
-    survey: DataFrame,
+    bench: DataFrame,
     rules: Sequence[Rule] = SKILL_RULES,
     spec: Mapping[str, Sequence[str]] = BENCHMARK_SPEC,
     pairs: Mapping[str, str] = BENCHMARK_PAIRS,
-    min_count: int = MIN_RESPONDENTS,
 ) -> DataFrame:
     """Staged postings with flags, skill total and survey benchmark, without the text.
 
@@ -40,7 +50,6 @@ def enrich_postings(
     else:
         keep = [c for c in staged.columns if c != "description"]
         flagged = keyword_flags(staged, "description", rules, keep)
-    bench = list_token_benchmark(survey, min_count=min_count, names=spec_names(spec))
     return masked_benchmark(flagged, benchmark_pivot(bench, spec), pairs, rules)
 
 
@@ -87,22 +96,15 @@ def salary_by_skill(
 
 def salary_comparison(
     enriched: DataFrame,
-    survey: DataFrame,
+    bench: DataFrame,
     rules: Sequence[Rule] = SKILL_RULES,
     label_map: Mapping[str, str] = COMPARISON_MAP,
     rate: float = USD_TO_GBP,
-    min_count: int = MIN_RESPONDENTS,
     ordered: bool = True,
 ) -> DataFrame:
     """Posted against surveyed pay, one row per mapped skill whether or not it has postings."""
     mapped = [r for r in rules if r.label in label_map]
-    names = sorted(set(label_map.values()))
-    mart = compare_to_benchmark(
-        flag_stats(enriched, mapped),
-        list_token_benchmark(survey, min_count=min_count, names=names),
-        label_map,
-        rate,
-    )
+    mart = compare_to_benchmark(flag_stats(enriched, mapped), bench, label_map, rate)
     return _sorted(mart, ordered, F.desc_nulls_last("uk_avg_salary_gbp"), F.asc("skill"))
 
 

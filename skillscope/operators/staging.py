@@ -59,4 +59,4 @@ def stage_survey(raw: DataFrame, low: float = PAY_MIN, high: float = PAY_MAX) ->
     """Respondents whose pay is a number within [low, high]."""
     pay = plain_number(F.col("ConvertedCompYearly")).alias("annual_comp_usd")
     names = [F.col(old).alias(new) for old, new in _SURVEY_NAMES.items()]
-    return raw.select(*names, pay).filter(F.col("annual_comp_usd").between(low, high))
+    return raw.select(*names, pay).filter(f"annual_comp_usd BETWEEN {low} AND {high}")

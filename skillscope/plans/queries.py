@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from skillscope.functions.numbers import midpoint
 from skillscope.operators import marts
 from skillscope.operators.benchmarks import (
-    benchmark_pivot, explode_list, flag_stats, list_token_benchmark, spec_names,
+    benchmark_pivot, explode_list, flag_stats, list_token_benchmark,
 )
 from skillscope.operators.forecast import forecast, forecast_coverage
 from skillscope.operators.panels import panel_histogram, panel_terms
@@ -21,8 +21,8 @@ from skillscope.operators.predict import (
 from skillscope.operators.staging import stage_postings, stage_survey
 from skillscope.operators.tagging import total_flags, unpivot_flags
 from skillscope.plans.views import (
-    LABEL_MAP, RULES, SPEC, enriched_postings, flagged_documents, pay_bounds, raw_postings,
-    raw_survey, staged_survey, table, tagged_postings,
+    LABEL_MAP, RULES, SPEC, benchmarks, enriched_postings, flagged_documents, pay_bounds,
+    raw_postings, raw_survey, staged_survey, table, tagged_postings,
 )
 from skillscope.schemas import SURVEY_COLUMNS
 from skillscope.session import materialise
@@ -143,8 +143,7 @@ def list_token_benchmarks(spark, sf_dir):
 
 @query("benchmark_pivot")
 def benchmark_pivot_row(spark, sf_dir):
-    bench = list_token_benchmark(staged_survey(spark, sf_dir), names=spec_names(SPEC))
-    return benchmark_pivot(bench, SPEC)
+    return benchmark_pivot(benchmarks(spark, sf_dir), SPEC)
 
 
 @query("masked_benchmark")
@@ -167,7 +166,7 @@ def uk_by_skill(spark, sf_dir):
 @query("salary_comparison")
 def salary_comparison(spark, sf_dir):
     return marts.salary_comparison(
-        tagged_postings(spark, sf_dir), staged_survey(spark, sf_dir), RULES, LABEL_MAP
+        tagged_postings(spark, sf_dir), benchmarks(spark, sf_dir), RULES, LABEL_MAP
     )
 
 
@@ -177,9 +176,14 @@ def holdout_split_rows(spark, sf_dir):
     return holdout_split(paid.select("job_id", "salary_gbp"))
 
 
+def _labelled(spark, sf_dir):
+    """Written once, without the texts, for the passes that training and scoring take."""
+    return materialise(labelled_postings(tagged_postings(spark, sf_dir), RULES), "labelled")
+
+
 def _mean_predictions(spark, sf_dir):
     """Predictions that SQL can repeat: mean training pay of the same flags, else of all."""
-    labelled = labelled_postings(tagged_postings(spark, sf_dir), RULES)
+    labelled = _labelled(spark, sf_dir)
     train = labelled.filter(~F.col("is_test"))
     means = train.groupBy("flags").agg(F.avg("salary_gbp").alias("mean"))
     overall = train.agg(F.avg("salary_gbp").alias("m")).scalar()
@@ -206,8 +210,7 @@ def mart_predictions(spark, sf_dir):
 
 @query("salary_holdout")
 def salary_holdout_rows(spark, sf_dir):
-    labelled = labelled_postings(tagged_postings(spark, sf_dir), RULES)
-    return salary_holdout(materialise(labelled, "labelled"), RULES, QUERY_TREES)
+    return salary_holdout(_labelled(spark, sf_dir), RULES, QUERY_TREES)
 
 
 @query("feature_importance")
@@ -266,19 +269,20 @@ def panel_jobs(spark, sf_dir):
 
 @query("panel_demand")
 def panel_demand(spark, sf_dir):
-    return panel_histogram(_demand(spark, sf_dir), "month", "skill", "job_count", "sum")
+    mart = materialise(_demand(spark, sf_dir), "mart-skill-demand")
+    return panel_histogram(mart, "month", "skill", "job_count", "sum")
 
 
 @query("panel_forecast")
 def panel_forecast(spark, sf_dir):
-    mart = marts.forecast_mart(_linear(spark, sf_dir), ordered=False)
+    mart = materialise(marts.forecast_mart(_linear(spark, sf_dir), ordered=False), "mart-forecasts")
     return panel_histogram(mart, "forecast_date", "skill", "predicted_demand", "avg")
 
 
 @query("panel_gap")
 def panel_gap(spark, sf_dir):
     mart = marts.salary_comparison(
-        tagged_postings(spark, sf_dir), staged_survey(spark, sf_dir), RULES, LABEL_MAP,
+        tagged_postings(spark, sf_dir), benchmarks(spark, sf_dir), RULES, LABEL_MAP,
         ordered=False,
     )
     return panel_terms(mart, "skill", "uk_vs_global_gap_gbp", "avg")

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skillscope.defaults import Rule
-from skillscope.operators.marts import enrich_postings
+from skillscope.operators.marts import enrich_postings, survey_benchmarks
 from skillscope.operators.staging import stage_postings, stage_survey
 from skillscope.operators.tagging import keyword_flags
 
@@ -125,25 +125,36 @@ def tagged_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_survey(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Respondents as a CSV scan would give them: all text, 'NA' for unknown pay."""
-    lines, parts = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "part")
-    words = F.replace("p_name", F.lit(" "), F.lit(" ; "))
-    repeated = F.when(
-        F.col("l_linestatus") == "O", F.concat(F.lit(";;"), F.split_part("p_name", F.lit(" "), F.lit(1)))
-    ).otherwise(F.lit(""))
-    pay = F.col("l_extendedprice").cast("string")
-    return lines.join(parts, F.col("l_partkey") == F.col("p_partkey"), "left").select(
-        F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"))
-        .alias("ResponseId"),
-        F.col("l_returnflag").alias("Country"),
+    # The lists depend on the part alone and are put together once per part, not per line.
+    name = F.col("p_name")
+    spaced, first = F.replace(name, F.lit(" "), F.lit(" ; ")), F.split_part(name, F.lit(" "), F.lit(1))
+    listed = F.col("p_brand") != "Brand#1"
+    parts = table(spark, sf_dir, "part").select(
+        "p_partkey",
         F.col("p_type").alias("DevType"),
         F.col("p_size").cast("string").alias("YearsCodePro"),
         F.col("p_brand").alias("EdLevel"),
-        F.col("l_linestatus").alias("RemoteWork"),
-        F.when(F.col("p_brand") != "Brand#1", F.concat(words, repeated))
-        .alias("LanguageHaveWorkedWith"),
-        F.replace("p_name", F.lit(" "), F.lit(";")).alias("LanguageWantToWorkWith"),
+        F.when(listed, spaced).alias("once"),
+        F.when(listed, F.concat(spaced, F.lit(";;"), first)).alias("repeated"),
+        F.replace(name, F.lit(" "), F.lit(";")).alias("LanguageWantToWorkWith"),
         F.col("p_brand").alias("DatabaseHaveWorkedWith"),
         F.col("p_type").alias("PlatformHaveWorkedWith"),
+    )
+    lines = table(spark, sf_dir, "lineitem")
+    order, number = F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")
+    pay = F.col("l_extendedprice").cast("string")
+    return lines.join(parts, F.col("l_partkey") == F.col("p_partkey"), "left").select(
+        F.concat(order, F.lit("-"), number).alias("ResponseId"),
+        F.col("l_returnflag").alias("Country"),
+        "DevType",
+        "YearsCodePro",
+        "EdLevel",
+        F.col("l_linestatus").alias("RemoteWork"),
+        F.when(F.col("l_linestatus") == "O", F.col("repeated")).otherwise(F.col("once"))
+        .alias("LanguageHaveWorkedWith"),
+        "LanguageWantToWorkWith",
+        "DatabaseHaveWorkedWith",
+        "PlatformHaveWorkedWith",
         F.when(F.col("l_discount") == 0, F.lit("NA")).otherwise(pay).alias("ConvertedCompYearly"),
     )
 
@@ -152,7 +163,11 @@ def staged_survey(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stage_survey(raw_survey(spark, sf_dir))
 
 
+def benchmarks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return survey_benchmarks(staged_survey(spark, sf_dir), SPEC, LABEL_MAP)
+
+
 def enriched_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrich_postings(
-        tagged_postings(spark, sf_dir), staged_survey(spark, sf_dir), RULES, SPEC, PAIRS
+        tagged_postings(spark, sf_dir), benchmarks(spark, sf_dir), RULES, SPEC, PAIRS
     )

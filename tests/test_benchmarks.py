@@ -1,0 +1,118 @@
+import pytest
+
+from skillscope.defaults import BENCHMARK_PAIRS, BENCHMARK_SPEC, COMPARISON_MAP, SKILL_RULES
+from skillscope.operators.benchmarks import (
+    benchmark_pivot, compare_to_benchmark, explode_list, flag_stats, list_token_benchmark,
+    masked_benchmark,
+)
+from skillscope.operators.marts import survey_benchmarks
+from skillscope.operators.tagging import flag_columns, keyword_flags
+
+SURVEY = "languages_used string, annual_comp_usd double"
+
+
+def survey(spark, *rows):
+    return spark.createDataFrame(list(rows), SURVEY)
+
+
+def test_list_tokens(spark):
+    df = survey(spark, ("Python; SQL;;Python", 1.0), (None, 2.0), (";", 3.0),
+                (" Go ;\tRust", 4.0), (" ; 　", 5.0))
+    rows = sorted((r["annual_comp_usd"], r["skill_name"])
+                  for r in explode_list(df, "languages_used", ["annual_comp_usd"]).collect())
+    assert rows == [(1.0, "Python"), (1.0, "Python"), (1.0, "SQL"), (4.0, "\tRust"), (4.0, "Go")]
+
+
+def test_separator_is_literal(spark):
+    df = spark.createDataFrame([("a|b.c",)], "l string")
+    assert [r["skill_name"] for r in explode_list(df, "l", [], sep="|").collect()] == ["a", "b.c"]
+
+
+@pytest.mark.parametrize("with_median", [False, True])
+def test_token_benchmark(spark, with_median):
+    rows = [("Go", float(10_000 * i)) for i in range(1, 5)]
+    rows += [("Rust;Rust", 20_000.0), ("Rust", 30_000.0), ("Rust", 80_000.0), ("Rust", 30_001.0)]
+    rows += [("Rust", None)]
+    bench = list_token_benchmark(survey(spark, *rows), with_median=with_median)
+    got = [r.asDict() for r in bench.collect()]
+    want = {"skill_name": "Rust", "so_avg_comp_usd": 36000.0, "so_respondent_count": 5}
+    if with_median:
+        want["so_median_comp_usd"] = 30_000.0
+    assert got == [want], "four respondents are too few, a repeat counts twice"
+
+
+def test_names_filter_only_drops_other_tokens(spark):
+    df = survey(spark, *[("Go;SQL; Rust ", 10_000.0 * i) for i in range(1, 8)])
+    every = {r["skill_name"]: r for r in list_token_benchmark(df).collect()}
+    some = {r["skill_name"]: r for r in list_token_benchmark(df, names=["Rust", "Zig"]).collect()}
+    assert some == {"Rust": every["Rust"]}
+
+
+def test_pivot(spark):
+    rows = [("JavaScript", 50_000.0)] * 5 + [("TypeScript", 60_000.0)] * 5 + [("Go", 1.0)] * 4
+    pivot = benchmark_pivot(survey_benchmarks(survey(spark, *rows))).collect()
+    assert len(pivot) == 1
+    assert pivot[0].asDict() == {**dict.fromkeys(BENCHMARK_SPEC), "so_js_usd": 60_000.0}
+
+
+def test_empty_survey_keeps_every_posting(spark):
+    jobs = spark.createDataFrame([("a", "python"), ("b", "")], "job_id string, description string")
+    flagged = keyword_flags(jobs, "description", SKILL_RULES, ["job_id"])
+    out = masked_benchmark(flagged, benchmark_pivot(survey_benchmarks(survey(spark)))).collect()
+    assert {(r["job_id"], r["total_skills_required"], r["so_market_benchmark_usd"]) for r in out} \
+        == {("a", 1, None), ("b", 0, None)}
+
+
+def test_masked_mean(spark):
+    texts = {"two": "python and golang", "unpriced": "python and node", "none": "aws docker",
+             "missing": None, "js": "javascript", "all": "python golang javascript aws"}
+    jobs = spark.createDataFrame(list(texts.items()), "job_id string, description string")
+    flagged = keyword_flags(jobs, "description", SKILL_RULES, ["job_id"])
+    rows = [("Python", 50_000.0)] * 5 + [("Go", 70_001.0)] * 5 + [("TypeScript", 90_000.0)] * 5
+    out = masked_benchmark(flagged, benchmark_pivot(survey_benchmarks(survey(spark, *rows))))
+    got = {r["job_id"]: (r["total_skills_required"], r["so_market_benchmark_usd"])
+           for r in out.collect()}
+    assert got == {
+        "two": (2, 60_001.0), "unpriced": (2, 50_000.0), "none": (2, None),
+        "missing": (None, None), "js": (1, 90_000.0), "all": (4, 70_000.0),
+    }
+    assert set(BENCHMARK_PAIRS) < set(flag_columns(SKILL_RULES))
+
+
+def test_stats_keep_rules_without_postings(spark):
+    jobs = spark.createDataFrame(
+        [("python", 30_000.0), ("python rust", 40_001.0), ("rust", None), (None, 9.0)],
+        "description string, salary_gbp double",
+    )
+    stats = flag_stats(keyword_flags(jobs, "description", SKILL_RULES, ["salary_gbp"]), SKILL_RULES)
+    got = {r["skill"]: (r["uk_job_count"], r["uk_avg_gbp"]) for r in stats.collect()}
+    assert len(got) == 12
+    assert got["Python"] == (2, 35_001.0) and got["Rust"] == (1, 40_001.0)
+    assert got["Go"] == (0, None)
+
+
+def test_comparison(spark):
+    stats = spark.createDataFrame(
+        [("Python", 79_000.0, 3), ("Go", 80_000.0, 2), ("Rust", 10_000.0, 1), ("SQL", 5.0, 1),
+         ("React", None, 0), ("Cloud", 7.0, 1)],
+        "skill string, uk_avg_gbp double, uk_job_count bigint",
+    )
+    bench = spark.createDataFrame(
+        [("Python", 100_000.0, 9), ("Go", 100_001.0, 8), ("Rust", 12_659.0, 7),
+         ("React.js", 90_000.0, 6), ("Cloud", 1.0, 5)],
+        "skill_name string, so_avg_comp_usd double, so_respondent_count bigint",
+    )
+    got = {r["skill"]: r for r in compare_to_benchmark(stats, bench).collect()}
+    assert {s: r["market_position"] for s, r in got.items()} == {
+        "Python": "Parity", "Go": "UK above global", "Rust": "UK below global", "SQL": "Parity",
+        "React": "Parity", "Cloud": "Parity",
+    }
+    assert got["Go"]["uk_vs_global_gap_gbp"] == 999.0
+    assert got["Go"]["global_so_avg_salary_gbp_equiv"] == 79_001.0
+    assert got["Rust"]["uk_vs_global_gap_gbp"] == -1.0
+    assert got["React"]["global_so_avg_salary_usd"] == 90_000.0
+    assert got["React"]["uk_vs_global_gap_gbp"] is None
+    assert got["Cloud"]["global_so_respondents"] is None, "not in the label map"
+    assert got["SQL"]["global_so_avg_salary_usd"] is None
+    assert compare_to_benchmark(stats, bench, rate=1.0).count() == 6
+    assert len(COMPARISON_MAP) == 9

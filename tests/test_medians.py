@@ -1,0 +1,47 @@
+import random
+import statistics
+
+import pytest
+from pyspark.sql import functions as F
+
+from skillscope.operators.medians import grouped_median, value_counts
+
+
+def medians(spark, rows):
+    df = spark.createDataFrame(rows, "k string, v double").repartition(4)
+    return {r["k"]: r["m"] for r in grouped_median(value_counts(df, "k", "v"), "k", "v", "m").collect()}
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_against_brute_force(spark, seed):
+    rng = random.Random(seed)
+    draws = {
+        "one": lambda: 5.0,
+        "two": lambda: rng.choice([1.0, 2.0]),
+        "money": lambda: round(rng.uniform(10_000, 500_000), 2),
+        "signed": lambda: rng.uniform(-3, 3),
+        "wide": lambda: rng.choice([-1, 1]) * 10 ** rng.uniform(-12, 12),
+        "close": lambda: 1e6 + rng.random() * 1e-3,
+        "zeros": lambda: rng.choice([0.0, 0.0, -1.0, 1.0]),
+    }
+    values = {k: [f() for _ in range(rng.randint(1, 400))] for k, f in draws.items()}
+    rows = [(k, v) for k, vs in values.items() for v in vs]
+    got = medians(spark, rows)
+    for k, vs in values.items():
+        assert got[k] == pytest.approx(statistics.median(vs), rel=1e-12, abs=1e-15), k
+
+
+def test_hot_key(spark):
+    """A key with most rows, all of one value but a few; agrees with the built-in aggregate."""
+    df = spark.range(60_000).select(
+        F.when(F.col("id") % 3 == 0, "cold").otherwise("hot").alias("k"),
+        F.when(F.col("id") % 5 == 0, F.col("id").cast("double")).otherwise(F.lit(42.0)).alias("v"),
+    )
+    got = grouped_median(value_counts(df, "k", "v"), "k", "v", "m")
+    want = df.groupBy("k").agg(F.median("v").alias("m"))
+    assert sorted(got.collect()) == sorted(want.collect())
+
+
+def test_single_and_even(spark):
+    assert medians(spark, [("a", 3.0)]) == {"a": 3.0}
+    assert medians(spark, [("a", 1.0), ("a", 100_000.0)]) == {"a": 50_000.5}
