@@ -10,9 +10,13 @@ from pyspark.sql import functions as F
 NUMBER_PATTERN = r"^\s*+[+-]?+(?:\d++\.?+\d*+|\.\d++)(?:[eE][+-]?+\d++)?+\s*+$"
 
 
+def is_plain_number(c: Column) -> Column:
+    return c.rlike(NUMBER_PATTERN)
+
+
 def plain_number(c: Column) -> Column:
     """Text to double; NULL for anything that is not a plain number (NaN and infinities too)."""
-    return F.when(c.rlike(NUMBER_PATTERN), F.trim(c).try_cast("double"))
+    return F.when(is_plain_number(c), c.try_cast("double"))
 
 
 def midpoint(low: Column, high: Column) -> Column:

@@ -15,7 +15,7 @@ from skillscope.defaults import (
 )
 from skillscope.functions.numbers import ratio
 from skillscope.functions.text import split_list, trim_spaces
-from skillscope.operators.medians import grouped_median, value_counts
+from skillscope.operators.statistics import grouped_statistics
 from skillscope.operators.tagging import total_flags
 from skillscope.sources.tables import constant_rows
 
@@ -48,29 +48,24 @@ def list_token_benchmark(
 ) -> DataFrame:
     """Average pay (and median) per token with at least ``min_count`` respondents.
 
-    ``names`` keeps only these tokens, before anything is grouped.
+    ``names`` keeps only these tokens, before anything is grouped. For the median the survey is read
+    twice.
     """
     paid = survey.filter(F.col(value_col).isNotNull())
     tokens = explode_list(paid, list_col, [value_col], sep=sep, names=names)
-    respondents = F.col("so_respondent_count") >= min_count
-    if not with_median:
-        return tokens.groupBy("skill_name").agg(
-            F.round(F.avg(value_col), 0).alias("so_avg_comp_usd"),
-            F.count(F.lit(1)).alias("so_respondent_count"),
-        ).filter(respondents)
-    counts = value_counts(tokens, "skill_name", value_col)
-    weighted = F.sum(F.col(value_col) * F.col("n")) / F.sum("n")
-    means = counts.groupBy("skill_name").agg(
-        F.round(weighted, 0).alias("so_avg_comp_usd"),
-        F.sum("n").alias("so_respondent_count"),
-    ).filter(respondents)
-    medians = grouped_median(counts, "skill_name", value_col, "_median")
-    return means.join(medians, "skill_name").select(
-        "skill_name",
-        "so_avg_comp_usd",
-        F.round("_median", 0).alias("so_median_comp_usd"),
-        "so_respondent_count",
-    )
+    if with_median:
+        few = names is not None
+        stats = grouped_statistics(tokens, "skill_name", value_col, min_count, few_keys=few)
+        return stats.select(
+            "skill_name",
+            F.round("mean", 0).alias("so_avg_comp_usd"),
+            F.round("median", 0).alias("so_median_comp_usd"),
+            F.col("n").alias("so_respondent_count"),
+        )
+    return tokens.groupBy("skill_name").agg(
+        F.round(F.avg(value_col), 0).alias("so_avg_comp_usd"),
+        F.count(F.lit(1)).alias("so_respondent_count"),
+    ).filter(F.col("so_respondent_count") >= min_count)
 
 
 def benchmark_pivot(
@@ -94,12 +89,12 @@ def masked_benchmark(
     The one-row ``pivot`` is a scalar subquery: its values reach every task as constants, without a
     join, and a second row would fail the job instead of multiplying postings.
     """
-    prices = pivot.select(F.struct(*sorted(set(pairs.values()))).alias("p")).scalar()
-    terms = [(F.col(flag), prices[price]) for flag, price in pairs.items()]
+    prices = pivot.select(F.struct(*sorted(set(pairs.values())))).scalar()
+    terms = [(F.col(flag), F.col("_prices")[price]) for flag, price in pairs.items()]
     paid = reduce(add, [f * F.coalesce(p, F.lit(0.0)) for f, p in terms])
     priced = reduce(add, [f * p.isNotNull().cast("int") for f, p in terms])
-    return flagged.select(
-        "*",
+    return flagged.withColumn("_prices", prices).select(
+        *flagged.columns,
         total_flags([r.column for r in rules]).alias("total_skills_required"),
         F.round(ratio(paid, priced), 0).alias("so_market_benchmark_usd"),
     )

@@ -14,7 +14,7 @@ from skillscope.defaults import (
 from skillscope.operators.benchmarks import (
     benchmark_pivot, compare_to_benchmark, flag_stats, list_token_benchmark, masked_benchmark,
 )
-from skillscope.operators.medians import grouped_median, value_counts
+from skillscope.operators.statistics import grouped_statistics
 from skillscope.operators.tagging import flag_columns, keyword_flags, unpivot_flags
 
 
@@ -68,28 +68,18 @@ def salary_by_skill(
     min_count: int = MIN_POSTINGS,
     ordered: bool = True,
 ) -> DataFrame:
-    """Pay statistics per skill with at least ``min_count`` paid postings.
-
-    Rows are first combined per (skill, pay); all statistics, the median too, come from that one
-    shuffle.
-    """
+    """Pay statistics per skill with at least ``min_count`` paid postings. Reads ``enriched``
+    twice, so it should be a stored table."""
     paid = enriched.filter(F.col("salary_gbp").isNotNull())
-    counts = value_counts(unpivot_flags(paid, ["salary_gbp"], rules), "skill", "salary_gbp")
-    pay = F.col("salary_gbp")
-    stats = counts.groupBy("skill").agg(
-        F.sum("n").alias("job_count"),
-        F.round(F.sum(pay * F.col("n")) / F.sum("n"), 0).alias("avg_salary_gbp"),
-        F.round(F.min(pay), 0).alias("min_salary_gbp"),
-        F.round(F.max(pay), 0).alias("max_salary_gbp"),
-    ).filter(F.col("job_count") >= min_count)
-    medians = grouped_median(counts, "skill", "salary_gbp", "_median")
-    mart = stats.join(medians, "skill").select(
+    tall = unpivot_flags(paid, ["salary_gbp"], rules)
+    stats = grouped_statistics(tall, "skill", "salary_gbp", min_count, few_keys=True)
+    mart = stats.select(
         "skill",
-        "job_count",
-        "avg_salary_gbp",
-        F.round("_median", 0).alias("median_salary_gbp"),
-        "min_salary_gbp",
-        "max_salary_gbp",
+        F.col("n").alias("job_count"),
+        F.round("mean", 0).alias("avg_salary_gbp"),
+        F.round("median", 0).alias("median_salary_gbp"),
+        F.round("low", 0).alias("min_salary_gbp"),
+        F.round("high", 0).alias("max_salary_gbp"),
     )
     return _sorted(mart, ordered, F.desc_nulls_last("avg_salary_gbp"), F.asc("skill"))
 

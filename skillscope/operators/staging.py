@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from skillscope.defaults import PAY_MAX, PAY_MIN
 from skillscope.functions.dates import month_of, parse_created
-from skillscope.functions.numbers import midpoint, plain_number
+from skillscope.functions.numbers import is_plain_number, midpoint
 
 _SURVEY_NAMES = {
     "ResponseId": "response_id",
@@ -56,7 +56,12 @@ def stage_postings(raw: DataFrame, on_bad: str = "error") -> DataFrame:
 
 
 def stage_survey(raw: DataFrame, low: float = PAY_MIN, high: float = PAY_MAX) -> DataFrame:
-    """Respondents whose pay is a number within [low, high]."""
-    pay = plain_number(F.col("ConvertedCompYearly")).alias("annual_comp_usd")
+    """Respondents whose pay is a number within [low, high].
+
+    The form of the number is checked in the filter only, so each surviving cell is matched once.
+    """
+    cell = F.col("ConvertedCompYearly")
     names = [F.col(old).alias(new) for old, new in _SURVEY_NAMES.items()]
-    return raw.select(*names, pay).filter(f"annual_comp_usd BETWEEN {low} AND {high}")
+    numeric = raw.filter(is_plain_number(cell))
+    staged = numeric.select(*names, cell.try_cast("double").alias("annual_comp_usd"))
+    return staged.filter(F.col("annual_comp_usd").between(low, high))

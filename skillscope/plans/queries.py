@@ -126,9 +126,16 @@ def skill_demand(spark, sf_dir):
     return marts.skill_demand(tagged_postings(spark, sf_dir), RULES)
 
 
+def _salary_by_skill(spark, sf_dir, ordered=False):
+    """Over a stored copy without texts, as it is in a daily run."""
+    flags = [r.column for r in RULES]
+    stored = materialise(tagged_postings(spark, sf_dir).select("salary_gbp", *flags), "postings")
+    return marts.salary_by_skill(stored, RULES, ordered=ordered)
+
+
 @query("salary_by_skill")
 def salary_by_skill(spark, sf_dir):
-    return marts.salary_by_skill(tagged_postings(spark, sf_dir), RULES)
+    return _salary_by_skill(spark, sf_dir, ordered=True)
 
 
 @query("explode_list")
@@ -138,7 +145,8 @@ def explode_survey_lists(spark, sf_dir):
 
 @query("list_token_benchmark")
 def list_token_benchmarks(spark, sf_dir):
-    return list_token_benchmark(staged_survey(spark, sf_dir), with_median=True)
+    paid = staged_survey(spark, sf_dir).select("languages_used", "annual_comp_usd")
+    return list_token_benchmark(materialise(paid, "survey"), with_median=True)
 
 
 @query("benchmark_pivot")
@@ -257,14 +265,12 @@ def mart_forecasts(spark, sf_dir):
 
 @query("panel_salary")
 def panel_salary(spark, sf_dir):
-    mart = marts.salary_by_skill(tagged_postings(spark, sf_dir), RULES, ordered=False)
-    return panel_terms(mart, "skill", "avg_salary_gbp", "avg")
+    return panel_terms(_salary_by_skill(spark, sf_dir), "skill", "avg_salary_gbp", "avg")
 
 
 @query("panel_jobs")
 def panel_jobs(spark, sf_dir):
-    mart = marts.salary_by_skill(tagged_postings(spark, sf_dir), RULES, ordered=False)
-    return panel_terms(mart, "skill", "job_count", "sum")
+    return panel_terms(_salary_by_skill(spark, sf_dir), "skill", "job_count", "sum")
 
 
 @query("panel_demand")

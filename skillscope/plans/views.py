@@ -75,8 +75,20 @@ LABEL_MAP = {
 }
 
 
+# The table columns that the queries read.
+SCHEMAS = {
+    "documents": "doc_id BIGINT, text STRING, lang STRING, source STRING",
+    "orders": "o_orderkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+              "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING",
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_linenumber INT, l_extendedprice DOUBLE, "
+                "l_discount DOUBLE, l_returnflag STRING, l_linestatus STRING",
+    "part": "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT",
+    "customer": "c_custkey BIGINT",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def pay_bounds() -> tuple[Column, Column]:

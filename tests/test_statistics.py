@@ -4,12 +4,12 @@ import statistics
 import pytest
 from pyspark.sql import functions as F
 
-from skillscope.operators.medians import grouped_median, value_counts
+from skillscope.operators.statistics import grouped_statistics
 
 
-def medians(spark, rows):
+def stats(spark, rows, **options):
     df = spark.createDataFrame(rows, "k string, v double").repartition(4)
-    return {r["k"]: r["m"] for r in grouped_median(value_counts(df, "k", "v"), "k", "v", "m").collect()}
+    return {r["k"]: r for r in grouped_statistics(df, "k", "v", **options).collect()}
 
 
 @pytest.mark.parametrize("seed", range(4))
@@ -26,9 +26,13 @@ def test_against_brute_force(spark, seed):
     }
     values = {k: [f() for _ in range(rng.randint(1, 400))] for k, f in draws.items()}
     rows = [(k, v) for k, vs in values.items() for v in vs]
-    got = medians(spark, rows)
+    got = stats(spark, rows, few_keys=seed % 2 == 0)
+    assert set(got) == set(values)
     for k, vs in values.items():
-        assert got[k] == pytest.approx(statistics.median(vs), rel=1e-12, abs=1e-15), k
+        wanted = statistics.median(vs)
+        assert got[k]["median"] == pytest.approx(wanted, rel=1e-12, abs=1e-15), k
+        assert (got[k]["n"], got[k]["low"], got[k]["high"]) == (len(vs), min(vs), max(vs))
+        assert got[k]["mean"] == pytest.approx(statistics.fmean(vs), rel=1e-9, abs=1e-9)
 
 
 def test_hot_key(spark):
@@ -37,11 +41,13 @@ def test_hot_key(spark):
         F.when(F.col("id") % 3 == 0, "cold").otherwise("hot").alias("k"),
         F.when(F.col("id") % 5 == 0, F.col("id").cast("double")).otherwise(F.lit(42.0)).alias("v"),
     )
-    got = grouped_median(value_counts(df, "k", "v"), "k", "v", "m")
-    want = df.groupBy("k").agg(F.median("v").alias("m"))
+    got = grouped_statistics(df, "k", "v").select("k", "n", "median")
+    want = df.groupBy("k").agg(F.count("v").alias("n"), F.median("v").alias("median"))
     assert sorted(got.collect()) == sorted(want.collect())
 
 
-def test_single_and_even(spark):
-    assert medians(spark, [("a", 3.0)]) == {"a": 3.0}
-    assert medians(spark, [("a", 1.0), ("a", 100_000.0)]) == {"a": 50_000.5}
+def test_small_groups(spark):
+    rows = [("single", 3.0), ("pair", 1.0), ("pair", 100_000.0)]
+    got = stats(spark, rows)
+    assert got["single"]["median"] == 3.0 and got["pair"]["median"] == 50_000.5
+    assert set(stats(spark, rows, min_count=2)) == {"pair"}
