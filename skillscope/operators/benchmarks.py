@@ -54,8 +54,8 @@ def list_token_benchmark(
     paid = survey.filter(F.col(value_col).isNotNull())
     tokens = explode_list(paid, list_col, [value_col], sep=sep, names=names)
     if with_median:
-        few = names is not None
-        stats = grouped_statistics(tokens, "skill_name", value_col, min_count, few_keys=few)
+        bounded = names is not None
+        stats = grouped_statistics(tokens, "skill_name", value_col, min_count, few_keys=bounded)
         return stats.select(
             "skill_name",
             F.round("mean", 0).alias("so_avg_comp_usd"),

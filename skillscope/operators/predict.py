@@ -25,6 +25,9 @@ from skillscope.sources.tables import constant_rows
 
 TEST_SHARE = 0.2
 
+# Up to this many rules, all flag vectors together are few enough for one partition.
+ONE_PARTITION_RULES = 12
+
 
 def in_holdout(id_col: Column, share: float = TEST_SHARE, seed: int = MODEL_SEED) -> Column:
     """A split that depends on the id alone: no sort, no shuffle, the same on every retry."""
@@ -38,6 +41,8 @@ def holdout_split(df: DataFrame, id_col: str = "job_id", share: float = TEST_SHA
 
 def flag_vector(rules: Sequence[Rule]) -> Column:
     """All flags as bits of one number; NULL as soon as one flag is."""
+    if len(rules) > 63:
+        raise ValueError("at most 63 rules fit into one flag vector")
     return reduce(add, [
         F.shiftleft(F.col(r.column).cast("long"), i) for i, r in enumerate(rules)
     ])
@@ -90,7 +95,9 @@ def fit_salary_model(
         maxIter=trees, stepSize=LEARNING_RATE, maxDepth=TREE_DEPTH if splits else 0,
         minWeightFractionPerNode=min(MIN_LEAF_ROWS / weight, 0.49),
     )
-    train = _with_features(known.filter(F.col("weight") > 0), rules).coalesce(1)
+    train = _with_features(known.filter(F.col("weight") > 0), rules)
+    if len(rules) <= ONE_PARTITION_RULES:
+        train = train.coalesce(1)
     return booster.fit(train), known
 
 

@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from skillscope.defaults import PAY_MAX, PAY_MIN
 from skillscope.functions.dates import month_of, parse_created
 from skillscope.functions.numbers import is_plain_number, midpoint
+from skillscope.schemas import RAW_POSTING_COLUMNS
 
+# Survey header -> staged column.
 _SURVEY_NAMES = {
     "ResponseId": "response_id",
     "Country": "country",
@@ -30,12 +32,6 @@ def _category(name: str) -> Column:
 def stage_postings(raw: DataFrame, on_bad: str = "error") -> DataFrame:
     """One cleaned row per posting with an id. Columns that ``raw`` adds to the flat ones, such as
     flags made next to the scan, are passed through; ``description`` may be absent."""
-    staged = {
-        "id": "job_id", "title": "job_title", "company_name": "company_name",
-        "location_name": "location_name", "salary_min": "salary_min", "salary_max": "salary_max",
-        "contract_type": "contract_type", "category_label": "category",
-        "description": "description", "created": "created_at",
-    }
     created = parse_created(F.col("created"), on_bad)
     text = [F.col("description")] if "description" in raw.columns else []
     return raw.filter(F.col("id").isNotNull()).select(
@@ -51,7 +47,7 @@ def stage_postings(raw: DataFrame, on_bad: str = "error") -> DataFrame:
         *text,
         created.alias("created_at"),
         month_of(created).alias("month"),
-        *[c for c in raw.columns if c not in staged],
+        *[c for c in raw.columns if c not in RAW_POSTING_COLUMNS],
     )
 
 

@@ -11,9 +11,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from skillscope.session import materialise
+
 # Buckets per e-fold of a value: a bucket is a thousandth of the values in it wide.
 BUCKETS_PER_EFOLD = 1024
 
+# Middle buckets are broadcast up to this size; each row holds nine numbers and its key.
+BROADCAST_BYTES = 8 * 2**20
+ROW_BYTES = 72
+
 
 def _bucket(value: Column) -> Column:
     """A bucket number that never decreases as the value grows."""
@@ -21,14 +27,25 @@ def _bucket(value: Column) -> Column:
     return F.coalesce(F.signum(value).cast("long") * size, F.lit(0))
 
 
+def _fits_broadcast(middle: DataFrame, key: str, limit: int) -> bool:
+    keys = F.coalesce(F.sum(F.octet_length(F.col(key).cast("string"))), F.lit(0))
+    return middle.agg(F.count(F.lit(1)) * ROW_BYTES + keys).first()[0] <= limit
+
+
 def grouped_statistics(
-    df: DataFrame, key: str, value: str, min_count: int = 1, few_keys: bool = False
+    df: DataFrame,
+    key: str,
+    value: str,
+    min_count: int = 1,
+    few_keys: bool = False,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """``n, mean, median, low, high`` per key with at least ``min_count`` rows.
 
     Callers leave out NULL keys and values, and store ``df`` if it is costly: it is read twice.
-    ``few_keys`` states that the number of keys is bounded, by a rule list for instance. Then the
-    one or two middle buckets per key are broadcast; else both sides meet in a shuffle by bucket.
+    ``few_keys`` states that the number of keys is bounded, by a rule list for instance: the one or
+    two middle buckets per key are then broadcast. Otherwise they are stored and measured first, and
+    above ``broadcast_bytes`` both sides meet in a shuffle by bucket.
     """
     placed = df.select(key, value, _bucket(F.col(value)).alias("bucket"))
     per_key = Window.partitionBy(key)
@@ -54,8 +71,10 @@ def grouped_statistics(
     )
     carried = ["n", "mean", "low", "high", "rank_1", "rank_2", "before"]
     middle = middle.select(key, "bucket", *carried)
+    if not few_keys:
+        middle = materialise(middle, "middle-buckets")
     rows = F.count(F.lit(1)).alias("rows")
-    if few_keys:
+    if few_keys or _fits_broadcast(middle, key, broadcast_bytes):
         inside = placed.join(F.broadcast(middle), [key, "bucket"])
         combined = inside.groupBy(key, "bucket", value, *carried).agg(rows)
     else:

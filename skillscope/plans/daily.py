@@ -18,7 +18,7 @@ from skillscope.sources.postings import flatten_postings, read_postings
 from skillscope.sources.survey import read_survey, require_columns
 from skillscope.sources.tables import read_parquet
 
-# Index name -> table name.
+# Index name -> table name.
 INDEX_MAP = {
     "salary_by_skill": "mart_salary_by_skill",
     "skill_demand": "mart_skill_demand",

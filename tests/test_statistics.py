@@ -12,7 +12,10 @@ def stats(spark, rows, **options):
     return {r["k"]: r for r in grouped_statistics(df, "k", "v", **options).collect()}
 
 
-@pytest.mark.parametrize("seed", range(4))
+WAYS = [{"few_keys": True}, {}, {"broadcast_bytes": 0}]
+
+
+@pytest.mark.parametrize("seed", range(6))
 def test_against_brute_force(spark, seed):
     rng = random.Random(seed)
     draws = {
@@ -26,7 +29,7 @@ def test_against_brute_force(spark, seed):
     }
     values = {k: [f() for _ in range(rng.randint(1, 400))] for k, f in draws.items()}
     rows = [(k, v) for k, vs in values.items() for v in vs]
-    got = stats(spark, rows, few_keys=seed % 2 == 0)
+    got = stats(spark, rows, **WAYS[seed % 3])
     assert set(got) == set(values)
     for k, vs in values.items():
         wanted = statistics.median(vs)
@@ -35,13 +38,14 @@ def test_against_brute_force(spark, seed):
         assert got[k]["mean"] == pytest.approx(statistics.fmean(vs), rel=1e-9, abs=1e-9)
 
 
-def test_hot_key(spark):
+@pytest.mark.parametrize("way", WAYS)
+def test_hot_key(spark, way):
     """A key with most rows, all of one value but a few; agrees with the built-in aggregate."""
     df = spark.range(60_000).select(
         F.when(F.col("id") % 3 == 0, "cold").otherwise("hot").alias("k"),
         F.when(F.col("id") % 5 == 0, F.col("id").cast("double")).otherwise(F.lit(42.0)).alias("v"),
     )
-    got = grouped_statistics(df, "k", "v").select("k", "n", "median")
+    got = grouped_statistics(df, "k", "v", **way).select("k", "n", "median")
     want = df.groupBy("k").agg(F.count("v").alias("n"), F.median("v").alias("median"))
     assert sorted(got.collect()) == sorted(want.collect())
 
