@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 @dataclass(frozen=True)
 class Rule:
-    """A case-insensitive keyword rule: any of ``any_of`` and none of ``none_of`` (LIKE patterns)."""
+    """A case-insensitive keyword rule: any of ``any_of`` and none of ``none_of``, LIKE patterns."""
 
     column: str
     label: str

@@ -205,7 +205,8 @@ def _top_per_bucket(source: str, date: str, field: str, agg: str) -> str:
         FROM (SELECT CAST(date_trunc(unit, {date}) AS DATE) AS bucket, skill, {agg}({field}) AS m
               FROM {source}, (SELECT CASE WHEN step >= 365 THEN 'year' WHEN step >= 21 THEN 'month'
                                           WHEN step >= 7 THEN 'week' ELSE 'day' END AS unit
-                              FROM (SELECT (max({date}) - min({date})) / 50.0 AS step FROM {source}))
+                              FROM (SELECT (max({date}) - min({date})) / 50.0 AS step
+                                    FROM {source}))
               WHERE {date} IS NOT NULL GROUP BY ALL)
         QUALIFY row_number() OVER (PARTITION BY bucket ORDER BY m DESC NULLS LAST, skill) <= 8"""
 

@@ -139,7 +139,8 @@ def raw_survey(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Respondents as a CSV scan would give them: all text, 'NA' for unknown pay."""
     # The lists depend on the part alone and are put together once per part, not per line.
     name = F.col("p_name")
-    spaced, first = F.replace(name, F.lit(" "), F.lit(" ; ")), F.split_part(name, F.lit(" "), F.lit(1))
+    spaced = F.replace(name, F.lit(" "), F.lit(" ; "))
+    first = F.split_part(name, F.lit(" "), F.lit(1))
     listed = F.col("p_brand") != "Brand#1"
     parts = table(spark, sf_dir, "part").select(
         "p_partkey",

@@ -81,7 +81,8 @@ def test_failing_series_is_skipped(spark):
 def test_piecewise_follows_a_bend():
     months = pd.Series(pd.date_range("2020-01-01", periods=40, freq="MS"))
     y = pd.Series(np.concatenate([10 + 3.0 * np.arange(20), 70 - 1.0 * np.arange(20)]))
-    out = piecewise_forecast("s", months.sample(frac=1, random_state=1), y.sample(frac=1, random_state=1), 6)
+    mixed = np.random.default_rng(1).permutation(40)
+    out = piecewise_forecast("s", months.iloc[mixed], y.iloc[mixed], 6)
     assert out["predicted_demand"].to_numpy() == pytest.approx(50 - np.arange(6), abs=2.0)
     again = piecewise_forecast("s", months, y, 6)
     pd.testing.assert_frame_equal(out, again)

@@ -20,7 +20,8 @@ def test_terms(spark):
 
 def histogram(spark, days, **options):
     df = spark.createDataFrame([(d, "a", 1) for d in days], "d date, skill string, v int")
-    return {r["bucket"]: r["sum"] for r in panel_histogram(df, "d", "skill", "v", "sum", **options).collect()}
+    rows = panel_histogram(df, "d", "skill", "v", "sum", **options).collect()
+    return {r["bucket"]: r["sum"] for r in rows}
 
 
 def test_bucket_units(spark):

@@ -3,6 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from skillscope.defaults import TEXT_LIMIT
 from skillscope.schemas import RAW_POSTING_COLUMNS, SURVEY_COLUMNS
 from skillscope.sources.generate import LANGUAGES, generate_postings, generate_survey
 from skillscope.sources.postings import (
@@ -62,8 +63,8 @@ def test_texts_are_whole_unless_a_limit_is_asked_for(spark):
              json.dumps({"id": "q", "description": quoted})]
     parsed = parse_postings(spark.createDataFrame([(x,) for x in lines], "line string"), "line")
     assert flat(parsed)["l"]["description"] == long
-    cut = {r["id"]: r["description"] for r in flatten_postings(parsed, 2000).collect()}
-    assert cut["l"] == long[:2000]
+    cut = {r["id"]: r["description"] for r in flatten_postings(parsed, TEXT_LIMIT).collect()}
+    assert cut["l"] == long[:TEXT_LIMIT]
     assert cut["q"] == "'" * 1000, "an apostrophe takes two characters"
 
 

@@ -6,8 +6,9 @@ from skillscope.operators.tagging import flag_columns, keyword_flags, total_flag
 
 def flags(spark, *texts):
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, description string")
-    tagged = keyword_flags(df, "description").withColumn("total", total_flags(flag_columns(SKILL_RULES)))
-    return [r.asDict() for r in tagged.orderBy("i").collect()]
+    tagged = keyword_flags(df, "description")
+    total = total_flags(flag_columns(SKILL_RULES))
+    return [r.asDict() for r in tagged.withColumn("total", total).orderBy("i").collect()]
 
 
 def hits(row):
