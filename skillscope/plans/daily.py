@@ -40,13 +40,15 @@ class DailyRun:
     trees: int = TREES
     forecast_method: str = "piecewise"
     text_limit: int | None = None
+    tables_path: str | None = None
 
 
 def load_raw(spark: SparkSession, run: DailyRun) -> None:
     """Replace both raw tables by the landed files."""
     postings = read_postings(spark, run.postings_path, run.json_lines)
-    replace_table(flatten_postings(postings, run.text_limit), "raw_postings")
-    replace_table(require_columns(read_survey(spark, run.survey_path)), "raw_survey")
+    root = run.tables_path
+    replace_table(flatten_postings(postings, run.text_limit), "raw_postings", root)
+    replace_table(require_columns(read_survey(spark, run.survey_path)), "raw_survey", root)
 
 
 def build_marts(spark: SparkSession, run: DailyRun) -> None:
@@ -54,15 +56,17 @@ def build_marts(spark: SparkSession, run: DailyRun) -> None:
     staged = replace_view(stage_postings(spark.table("raw_postings")), "stg_postings")
     survey = replace_view(stage_survey(spark.table("raw_survey")), "stg_survey")
     bench = materialise(marts.survey_benchmarks(survey), "survey-benchmarks")
-    enriched = replace_table(
-        marts.enrich_postings(staged, bench, run.rules), "int_jobs_enriched"
-    )
-    replace_table(marts.skill_demand(enriched, run.rules, ordered=False), "mart_skill_demand")
-    replace_table(marts.salary_by_skill(enriched, run.rules, ordered=False), "mart_salary_by_skill")
-    replace_table(
-        marts.salary_comparison(enriched, bench, run.rules, rate=run.rate, ordered=False),
-        "mart_salary_comparison",
-    )
+    root, rules = run.tables_path, run.rules
+    enriched = marts.enrich_postings(staged, bench, rules)
+    enriched = replace_table(enriched, "int_jobs_enriched", root)
+    for name, mart in {
+        "mart_skill_demand": marts.skill_demand(enriched, rules, ordered=False),
+        "mart_salary_by_skill": marts.salary_by_skill(enriched, rules, ordered=False),
+        "mart_salary_comparison": marts.salary_comparison(
+            enriched, bench, rules, rate=run.rate, ordered=False
+        ),
+    }.items():
+        replace_table(mart, name, root)
 
 
 def run_models(spark: SparkSession, run: DailyRun) -> None:
@@ -73,9 +77,11 @@ def run_models(spark: SparkSession, run: DailyRun) -> None:
     demand = spark.table("mart_skill_demand").select("skill", "month", "job_count")
     write_parquet(forecast(demand, method=run.forecast_method), forecasts)
     stored = read_parquet(spark, predictions, PREDICTION_SCHEMA)
-    replace_table(marts.prediction_mart(stored, ordered=False), "mart_salary_predictions")
+    mart = marts.prediction_mart(stored, ordered=False)
+    replace_table(mart, "mart_salary_predictions", run.tables_path)
     stored = read_parquet(spark, forecasts, FORECAST_SCHEMA)
-    replace_table(marts.forecast_mart(stored, ordered=False), "mart_forecasts")
+    mart = marts.forecast_mart(stored, ordered=False)
+    replace_table(mart, "mart_forecasts", run.tables_path)
 
 
 def run_daily(spark: SparkSession, run: DailyRun) -> list[str]:

@@ -12,9 +12,16 @@ from pyspark.sql import types as T
 log = logging.getLogger(__name__)
 
 
-def replace_table(df: DataFrame, name: str) -> DataFrame:
-    """Store ``df`` as table ``name`` in place of an older one, and read it back."""
-    df.write.mode("overwrite").saveAsTable(name)
+def replace_table(df: DataFrame, name: str, root: str | None = None) -> DataFrame:
+    """Store ``df`` as table ``name`` in place of an older one, and read it back.
+
+    Under ``root`` the files can also be replaced by a session whose catalog does not know the table
+    yet; a managed table needs a catalog that outlives the session.
+    """
+    writer = df.write.mode("overwrite")
+    if root:
+        writer = writer.option("path", f"{root}/{name}")
+    writer.saveAsTable(name)
     return df.sparkSession.table(name)
 
 

@@ -16,7 +16,7 @@ def test_landed_files_to_indexes(spark, tmp_path):
     survey = str(tmp_path / "survey")
     write_survey_csv(generate_survey(spark.range(500), "id"), survey)
     run = DailyRun(path, survey, str(tmp_path / "results"), str(tmp_path / "indexes"),
-                   json_lines=True, trees=3)
+                   json_lines=True, trees=3, tables_path=str(tmp_path / "tables"))
     assert run_daily(spark, run) == list(INDEX_MAP)
 
     jobs = spark.table("int_jobs_enriched")
@@ -36,6 +36,8 @@ def test_landed_files_to_indexes(spark, tmp_path):
         assert len(lines) == spark.table(table).count()
         assert set(lines[0]) == set(spark.table(table).columns)
 
+    for table in ("raw_postings", "int_jobs_enriched", "mart_skill_demand"):
+        spark.sql(f"DROP TABLE {table}")
     run_daily(spark, run)
     assert spark.table("int_jobs_enriched").count() == 400, "a rerun replaces"
     for table in ("raw_postings", "raw_survey", "int_jobs_enriched", *INDEX_MAP.values()):

@@ -24,6 +24,17 @@ def test_tables_and_views_are_replaced(spark):
     spark.sql("DROP TABLE kept")
 
 
+def test_table_files_outlive_the_catalog(spark, tmp_path):
+    root = str(tmp_path)
+    replace_table(spark.range(5).toDF("a"), "dated", root)
+    spark.sql("DROP TABLE dated")
+    assert os.listdir(f"{root}/dated"), "only the catalog entry is gone, as after a session"
+    assert replace_table(spark.range(2).toDF("b"), "dated", root).columns == ["b"]
+    assert spark.read.parquet(f"{root}/dated").count() == 2
+    assert replace_table(spark.range(3).toDF("c"), "dated", root).count() == 3
+    spark.sql("DROP TABLE dated")
+
+
 def test_parquet_round_trip_and_empty_results(spark, tmp_path):
     path = str(tmp_path / "p")
     df = spark.createDataFrame([("a", "t", 1.0, None)], PREDICTION_SCHEMA)
