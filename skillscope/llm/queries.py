@@ -6,17 +6,30 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from skillscope.llm.mixing import mix_sources
 from skillscope.llm.rules import quality_rules
+from skillscope.llm.warc import archived
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archived(_table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url")
+
+
+def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(_table(spark, sf_dir, "documents")).drop("source")
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(_table(spark, sf_dir, "documents")).drop("cleaned")
 
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_warc_archive": op1_warc_archive,
+    "op8_mix_sources": op8_mix_sources,
     "op10_quality_rules": op10_quality_rules,
 }
