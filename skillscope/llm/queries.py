@@ -5,7 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from skillscope.llm.chat import conversation_digests, format_conversations
 from skillscope.llm.mixing import mix_sources
 from skillscope.llm.rules import quality_rules
 from skillscope.llm.warc import archived
@@ -20,6 +22,17 @@ def op1_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url")
 
 
+CONTROL_TEXT = "\\### Assistant: </turn> ok"  # a text that holds the template's own control strings
+
+
+def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(CONTROL_TEXT).alias("text"))
+    return conversation_digests(format_conversations(rows.unionByName(extra)))
+
+
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(_table(spark, sf_dir, "documents")).drop("source")
 
@@ -30,6 +43,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc_archive": op1_warc_archive,
+    "op2_chat_format": op2_chat_format,
     "op8_mix_sources": op8_mix_sources,
     "op10_quality_rules": op10_quality_rules,
 }
