@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skillscope.llm.chat import conversation_digests, format_conversations
+from skillscope.llm.html_text import extract_pages
 from skillscope.llm.mixing import mix_sources
 from skillscope.llm.rules import quality_rules
 from skillscope.llm.warc import archived
@@ -33,6 +34,10 @@ def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_digests(format_conversations(rows.unionByName(extra)))
 
 
+def op6_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_pages(_table(spark, sf_dir, "pages"))
+
+
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(_table(spark, sf_dir, "documents")).drop("source")
 
@@ -44,6 +49,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc_archive": op1_warc_archive,
     "op2_chat_format": op2_chat_format,
+    "op6_main_text": op6_main_text,
     "op8_mix_sources": op8_mix_sources,
     "op10_quality_rules": op10_quality_rules,
 }
