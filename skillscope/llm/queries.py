@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from skillscope.llm.chat import conversation_digests, format_conversations
 from skillscope.llm.html_text import extract_pages
 from skillscope.llm.mixing import mix_sources
+from skillscope.llm.pii import find_personal_data, span_digests
 from skillscope.llm.rules import quality_rules
 from skillscope.llm.warc import archived
 
@@ -42,6 +43,10 @@ def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(_table(spark, sf_dir, "documents")).drop("source")
 
 
+def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return span_digests(find_personal_data(_table(spark, sf_dir, "documents")))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(_table(spark, sf_dir, "documents")).drop("cleaned")
 
@@ -51,5 +56,6 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_chat_format": op2_chat_format,
     "op6_main_text": op6_main_text,
     "op8_mix_sources": op8_mix_sources,
+    "op9_personal_data": op9_personal_data,
     "op10_quality_rules": op10_quality_rules,
 }
