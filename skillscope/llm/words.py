@@ -8,14 +8,14 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 SPACES = "\t\n\x0b\f\r "  # fixed value: the bytes that part words
+SPACE_RUN = r"[\x20\x09-\x0D]+"
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 
 
 def word_array(text: Column) -> Column:
     """The words of a text; none for null."""
-    plain = F.translate(F.coalesce(text, F.lit("")), "\t\n\x0b\f\r", " " * 5)
-    return F.array_remove(F.split(plain, " "), "")
+    return F.array_remove(F.split(F.coalesce(text, F.lit("")), SPACE_RUN), "")
 
 
 def word_count(text: Column) -> Column:
