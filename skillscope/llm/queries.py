@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from skillscope.llm.chat import conversation_digests, format_conversations
 from skillscope.llm.html_text import extract_pages
+from skillscope.llm.minhash import near_duplicates
 from skillscope.llm.mixing import mix_sources
 from skillscope.llm.pii import find_personal_data, span_digests
 from skillscope.llm.rules import quality_rules
@@ -35,6 +36,10 @@ def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_digests(format_conversations(rows.unionByName(extra)))
 
 
+def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(_table(spark, sf_dir, "documents"), shingle_words=3, min_percent=85)
+
+
 def op6_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_pages(_table(spark, sf_dir, "pages"))
 
@@ -54,6 +59,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc_archive": op1_warc_archive,
     "op2_chat_format": op2_chat_format,
+    "op3_near_duplicates": op3_near_duplicates,
     "op6_main_text": op6_main_text,
     "op8_mix_sources": op8_mix_sources,
     "op9_personal_data": op9_personal_data,
