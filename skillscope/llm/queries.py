@@ -13,6 +13,7 @@ from skillscope.llm.minhash import near_duplicates
 from skillscope.llm.mixing import mix_sources
 from skillscope.llm.pii import find_personal_data, span_digests
 from skillscope.llm.rules import quality_rules
+from skillscope.llm.substring import passage_digests
 from skillscope.llm.warc import archived
 
 
@@ -40,6 +41,10 @@ def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), shingle_words=3, min_percent=85)
 
 
+def op4_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passage_digests(_table(spark, sf_dir, "documents"))
+
+
 def op6_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_pages(_table(spark, sf_dir, "pages"))
 
@@ -60,6 +65,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc_archive": op1_warc_archive,
     "op2_chat_format": op2_chat_format,
     "op3_near_duplicates": op3_near_duplicates,
+    "op4_repeated_passages": op4_repeated_passages,
     "op6_main_text": op6_main_text,
     "op8_mix_sources": op8_mix_sources,
     "op9_personal_data": op9_personal_data,

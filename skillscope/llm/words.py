@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import itertools
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -31,12 +35,18 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+_POWERS: dict[int, np.ndarray] = {}
+
+
 def powers(base: int, n: int) -> np.ndarray:
-    """base**0 .. base**(n-1) modulo 2**64."""
-    out = np.full(n, np.uint64(base))
-    if n:
-        out[0] = 1
-    return np.multiply.accumulate(out)
+    """base**0 .. base**(n-1) modulo 2**64; the longest table asked for is kept."""
+    known = _POWERS.get(base)
+    if known is None or len(known) < n:
+        known = np.full(max(n, 1), np.uint64(base))
+        known[0] = 1
+        np.multiply.accumulate(known, out=known)
+        _POWERS[base] = known
+    return known[:n]
 
 
 def rolling(values: np.ndarray, width: int, which: int = 0) -> np.ndarray:
@@ -50,6 +60,19 @@ def rolling(values: np.ndarray, width: int, which: int = 0) -> np.ndarray:
     return mixed((prefix[width:] - prefix[:-width]) * powers(pow(base, -1, 1 << 64), n))
 
 
+def portions(texts: pa.Array, most_bytes: int = 1 << 20) -> Iterator[tuple[int, pa.Array]]:
+    """Consecutive pieces of a batch with about ``most_bytes`` of text each, and where they start.
+
+    Bounds what the vectorised helpers hold at a time; a single longer text is a piece of its own.
+    """
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+    number = np.cumsum(sizes) // most_bytes
+    cuts = [0, *(np.flatnonzero(np.diff(number)) + 1), len(texts)]
+    for low, high in itertools.pairwise(cuts):
+        if low < high:
+            yield int(low), texts.slice(low, high - low)
+
+
 class WordBatch:
     """All words of a batch of texts, hashed at once.
 
@@ -84,21 +107,15 @@ class WordBatch:
         self.counts = np.diff(self.first)
 
     def hashes(self) -> np.ndarray:
-        """A polynomial in each word's bytes, summed by segment and scrambled with the length."""
+        """A polynomial in each word's bytes, from running sums, scrambled with the length."""
         if not len(self.starts):
             return np.empty(0, np.uint64)
-        inside = np.zeros(len(self.data), np.uint64)
-        lengths = self.ends - self.starts
-        position = np.arange(int(lengths.sum())) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-        where = np.repeat(self.starts, lengths) + position
-        base = powers(_BASES[0] | 1, int(lengths.max()))
-        values = (self.data[where].astype(np.uint64) + np.uint64(1)) * base[position]
-        sums = np.add.reduceat(values, np.cumsum(lengths) - lengths)
-        del inside
-        return mixed(sums + mixed(lengths.astype(np.uint64)))
-
-    def text(self, start: int, end: int) -> bytes:
-        return self.data[start:end].tobytes()
+        sums = np.zeros(len(self.data) + 1, np.uint64)
+        np.multiply(self.data, powers(_BASES[0] | 1, len(self.data)), out=sums[1:])
+        np.cumsum(sums, out=sums)
+        back = powers(pow(_BASES[0] | 1, -1, 1 << 64), len(self.data))[self.starts]
+        lengths = (self.ends - self.starts).astype(np.uint64)
+        return mixed((sums[self.ends] - sums[self.starts]) * back + mixed(lengths))
 
 
 IN_WORD = np.ones(256, bool)
