@@ -12,6 +12,7 @@ from skillscope.llm.html_text import extract_pages
 from skillscope.llm.minhash import near_duplicates
 from skillscope.llm.mixing import mix_sources
 from skillscope.llm.pii import find_personal_data, span_digests
+from skillscope.llm.quality import fit_quality, held_out, score
 from skillscope.llm.rules import quality_rules
 from skillscope.llm.substring import passage_digests
 from skillscope.llm.warc import archived
@@ -49,6 +50,13 @@ def op6_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_pages(_table(spark, sf_dir, "pages"))
 
 
+def op7_quality_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = score(docs, fit_quality(docs, _table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
+                         F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
+
+
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(_table(spark, sf_dir, "documents")).drop("source")
 
@@ -67,6 +75,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_near_duplicates": op3_near_duplicates,
     "op4_repeated_passages": op4_repeated_passages,
     "op6_main_text": op6_main_text,
+    "op7_quality_score": op7_quality_score,
     "op8_mix_sources": op8_mix_sources,
     "op9_personal_data": op9_personal_data,
     "op10_quality_rules": op10_quality_rules,
