@@ -154,10 +154,17 @@ def _constant(share: float) -> Network:
 
 
 def _temperature(logits: np.ndarray, y: np.ndarray) -> float:
-    """The temperature of least log loss, by golden-section search on its logarithm."""
+    """The temperature of least log loss, by golden-section search on its logarithm.
+
+    Targets are smoothed by one count of each label, as a part that the network separates without
+    error would otherwise ask for a temperature of zero.
+    """
+    ones = y.sum()
+    goal = np.where(y == 1, (ones + 1) / (ones + 2), 1 / (len(y) - ones + 2))
+
     def loss(t: float) -> float:
         z = logits / np.exp(t)
-        return float(np.mean(np.logaddexp(0, z) - y * z))
+        return float(np.mean(np.logaddexp(0, z) - goal * z))
 
     low, high, ratio = -3.0, 3.0, (np.sqrt(5) - 1) / 2
     while high - low > 1e-4:
