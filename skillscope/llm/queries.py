@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skillscope.llm.chat import conversation_digests, format_conversations
+from skillscope.llm.decontaminate import find_leaks
 from skillscope.llm.html_text import extract_pages
 from skillscope.llm.minhash import near_duplicates
 from skillscope.llm.mixing import mix_sources
@@ -46,6 +47,10 @@ def op4_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passage_digests(_table(spark, sf_dir, "documents"))
 
 
+def op5_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op6_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_pages(_table(spark, sf_dir, "pages"))
 
@@ -74,6 +79,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_chat_format": op2_chat_format,
     "op3_near_duplicates": op3_near_duplicates,
     "op4_repeated_passages": op4_repeated_passages,
+    "op5_benchmark_leaks": op5_benchmark_leaks,
     "op6_main_text": op6_main_text,
     "op7_quality_score": op7_quality_score,
     "op8_mix_sources": op8_mix_sources,
