@@ -1,16 +1,71 @@
-"""The corpus pipeline: documents in, a weighted mix of clean documents out."""
+"""The corpus pipeline: documents in, a weighted mix of clean documents out.
+
+Stages: documents that the quality classifier rejects go; one document of each near-duplicate group
+stays (five-word shingles, 80 %); documents that hold a benchmark item go; personal data in the rest is
+replaced by its kind; the rest is mixed by source, with the number of copies of each document that
+is taken. Every stage works on all that its predecessor kept, and all but the last return the columns
+of ``documents``. Rows with equal ``doc_id`` and text count once from the second stage on. Empty tables pass
+through; nulls are handled as the operators state.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from skillscope.llm.decontaminate import drop_leaked
+from skillscope.llm.minhash import near_duplicates
+from skillscope.llm.mixing import mix_sources
+from skillscope.llm.pii import redact
+from skillscope.llm.quality import fit_quality, score
 from skillscope.llm.scratch import Scratch
+from skillscope.llm.words import word_count
+
+
+def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Quality classifier, fitted on the labels outside its held-out third."""
+    model = fit_quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return score(docs, model, "__score").where("__score >= 0.5").drop("__score")
+
+
+def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Near-duplicates by min-max hashing: the smallest doc_id of each group stays."""
+    gone = near_duplicates(docs).where("NOT kept").select("doc_id")
+    return docs.join(gone, "doc_id", "left_anti").select(docs.columns).dropDuplicates(["doc_id", "text"])
+
+
+def keep_untested(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Benchmark decontamination by BM25 retrieval."""
+    return drop_leaked(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data is replaced by its kind; ``n_chars`` follows the new text."""
+    hidden = redact(docs)
+    return hidden.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Entropy balancing: documents of which at least one copy is taken, with their number of copies."""
+    taken = mix_sources(docs).where("copies > 0").groupBy(
+        F.col("doc_id").alias("i"), F.col("source").alias("s"), F.col("size").alias("z")).agg(
+        *[F.max(c).alias(c) for c in ("copies", "taken", "target")])
+    same = F.col("doc_id").eqNullSafe(F.col("i")) & F.col("source").eqNullSafe(F.col("s")) & (F.col("size") == F.col("z"))
+    rows = docs.withColumn("size", word_count(F.col("text"))).join(taken, same)
+    return rows.select(*docs.columns, "size", "copies", "taken", "target")
+
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = []
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality_classifier", keep_good),
+    ("near_duplicates", keep_one_of_each),
+    ("decontamination", keep_untested),
+    ("personal_data", hide_personal_data),
+    ("mixing", mix),
+]
 
-ORACLE_SQL = None
+ORACLE_SQL = None  # a trained network, bootstrapped patterns and solved rates are beyond SQL
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,4 +74,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for number, (name, stage) in enumerate(STAGES):
         docs = scratch.keep(stage(spark, docs, sf_dir), f"{number}-{name}")
+        if number:
+            scratch.drop(f"{number - 1}-{STAGES[number - 1][0]}")
     return docs
