@@ -1,5 +1,116 @@
-"""DuckDB SQL for the queries that SQL can state."""
+"""DuckDB SQL for the queries that SQL can state, written from what they return."""
 
 from __future__ import annotations
 
-ORACLE: dict[str, str] = {}
+from skillscope.llm.rules import MENU_WORDS, NOTICES
+
+WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+# A-Z alone are folded.
+FOLDED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+_NIBBLE = "(strpos('0123456789abcdef', sha[{0} + 1]) - 1)"
+BASE32 = (
+    "array_to_string(list_transform(range(32), lambda i: 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'["
+    f"1 + (((16 * {_NIBBLE.format('(5 * i) // 4')} + {_NIBBLE.format('(5 * i) // 4 + 1')})"
+    " >> CAST(3 - (5 * i) % 4 AS INTEGER)) & 31)]), '')"
+)
+
+OP1 = f"""
+WITH p AS (SELECT page_id, url, encode(coalesce(html, '')) AS payload, sha1(coalesce(html, '')) AS sha FROM pages),
+f AS (SELECT sha, min(page_id) AS first FROM p GROUP BY sha)
+SELECT page_id, octet_length(payload) AS payload_bytes, {BASE32} AS payload_digest,
+       CASE WHEN page_id IS NOT DISTINCT FROM first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id IS DISTINCT FROM first THEN first END AS refers_to, url
+FROM p JOIN f USING (sha)"""
+
+# Escaped length: one backslash more for each '##', each closing mark and each backslash.
+OP2 = r"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+n AS (
+  SELECT *, contains(role, '\') OR contains(text, '\') AS quoted,
+         contains(role, '###') OR contains(text, '###') OR contains(role, '</turn>') OR contains(text, '</turn>')
+         OR contains(role, chr(10)) AS marked FROM c),
+e AS (
+  SELECT *, CASE WHEN quoted THEN replace(role, '\', '\\') ELSE role END AS r,
+         CASE WHEN quoted THEN replace(text, '\', '\\') ELSE text END AS t FROM n),
+l AS (
+  SELECT *, CASE WHEN quoted OR marked THEN
+      length(replace(replace(replace(r, '##', '#\#'), '</turn>', '<\/turn>'), chr(10), '\N'))
+      + length(replace(replace(t, '##', '#\#'), '</turn>', '<\/turn>'))
+    ELSE length(role) + length(text) END + 4 + 1 + 8 AS size FROM e)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), ''))
+         AS loss_sha256,
+       CAST(sum(size) AS BIGINT) AS formatted_chars
+FROM l GROUP BY conv_id"""
+
+OP3 = rf"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all({FOLDED}, '[^\x20\x09-\x0D]+') AS words FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(words) >= 3
+    THEN list_transform(range(1, len(words) - 1), lambda i: array_to_string(words[i:i + 2], ' '))
+    WHEN len(words) > 0 THEN [array_to_string(words, ' ')] ELSE [] END) AS shingle FROM w),
+n AS (SELECT doc_id, count(*) AS size FROM s GROUP BY doc_id),
+b AS (SELECT a.doc_id AS x, c.doc_id AS y, count(*) AS common
+      FROM s a JOIN s c ON a.shingle = c.shingle AND a.doc_id <> c.doc_id GROUP BY ALL),
+e AS (SELECT x, y FROM b JOIN n p ON p.doc_id = x JOIN n q ON q.doc_id = y
+      WHERE 100 * common >= 85 * (p.size + q.size - common)),
+r AS (SELECT doc_id AS x, doc_id AS reached FROM documents
+      UNION SELECT r.x, e.y FROM r JOIN e ON e.x = r.reached)
+SELECT w.doc_id, coalesce(n.size, 0) AS n_shingles, m.component_id, w.doc_id = m.component_id AS kept
+FROM w LEFT JOIN n USING (doc_id)
+JOIN (SELECT x AS doc_id, min(reached) AS component_id FROM r GROUP BY x) m USING (doc_id)"""
+
+OP4 = f"""
+WITH w AS (SELECT doc_id, {WORDS} AS words FROM documents),
+v AS (SELECT doc_id, i, md5(array_to_string(words[i:i + 49], ' ')) AS hash
+      FROM (SELECT doc_id, words, unnest(range(1, len(words) - 48)) AS i FROM w WHERE len(words) >= 50)),
+f AS (SELECT hash, min(doc_id) AS first FROM v GROUP BY hash),
+g AS (SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS place FROM v JOIN f USING (hash) WHERE doc_id > first),
+c AS (SELECT doc_id, list(place) AS places FROM g GROUP BY doc_id),
+k AS (SELECT w.doc_id, words, places, CASE WHEN places IS NULL THEN words
+        ELSE list_filter(words, lambda x, i: NOT list_contains(places, i)) END AS kept
+      FROM w LEFT JOIN c USING (doc_id))
+SELECT doc_id, len(words) AS n_words, CAST(len(words) - len(kept) AS BIGINT) AS n_removed,
+       sha256(array_to_string(kept, ' ')) AS kept_sha256
+FROM k"""
+
+OP10 = rf"""
+WITH t AS (SELECT doc_id, coalesce(text, '') AS text, {WORDS} AS words, string_split(coalesce(text, ''), chr(10)) AS lines
+           FROM documents),
+v AS (SELECT doc_id, i, md5(array_to_string(words[i:i + 7], ' ')) AS hash
+      FROM (SELECT doc_id, words, unnest(range(1, len(words) - 6)) AS i FROM t WHERE len(words) >= 8)),
+f AS (SELECT doc_id, hash FROM v GROUP BY doc_id, hash HAVING count(*) > 1),
+r AS (SELECT doc_id, count(*) AS n FROM (
+        SELECT DISTINCT doc_id, unnest(range(i, i + 8)) FROM v JOIN f USING (doc_id, hash)) GROUP BY doc_id),
+l AS (SELECT doc_id, line, trim(line, chr(9) || chr(11) || chr(12) || chr(13) || ' ') AS bare
+      FROM (SELECT doc_id, unnest(lines) AS line FROM t)),
+b AS (SELECT doc_id, line, bare <> '' AND (
+        (NOT contains('.!?:;"'')]}}…”’»', right(bare, 1)) AND len(regexp_extract_all(bare, '[^\x20\x09-\x0D]+')) < 3)
+        OR len(regexp_extract_all(bare, '[|»›•·>]')) >= 3
+        OR lower(bare) IN ({", ".join(f"'{w}'" for w in MENU_WORDS)})
+        OR (length(bare) < 200 AND regexp_matches(lower(bare), '{"|".join(NOTICES)}'))) AS bad FROM l),
+n AS (SELECT doc_id, count(*) FILTER (bad) AS n_bad,
+             coalesce(sum(length(regexp_replace(line, '[\x20\x09-\x0D]', '', 'g'))) FILTER (bad), 0) AS lost FROM b GROUP BY doc_id),
+c AS (SELECT doc_id, len(words) AS n_words, length(array_to_string(words, '')) AS word_chars,
+             len(regexp_extract_all(text, '[#*$%&|<>]')) AS n_symbols,
+             len(list_filter(lines, lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')))
+             - len(list_distinct(list_filter(lines, lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')))) AS n_dup_lines,
+             coalesce(r.n, 0) AS n_repeat_words, n_bad AS n_lines_removed, lost
+      FROM t LEFT JOIN r USING (doc_id) JOIN n USING (doc_id)),
+d AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+             CASE WHEN word_chars > 0 THEN lost / word_chars ELSE 0.0 END AS share FROM c)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND share <= 0.5 AS kept, n_lines_removed, CAST(share AS DOUBLE) AS lost_share
+FROM d"""
+
+ORACLE: dict[str, str] = {
+    "op1_warc_archive": OP1, "op2_chat_format": OP2, "op3_near_duplicates": OP3, "op4_repeated_passages": OP4,
+    "op10_quality_rules": OP10,
+}
