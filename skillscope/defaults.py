@@ -80,7 +80,6 @@ MIN_SERIES_POINTS = 3
 FORECAST_MONTHS = 6
 TREES, LEARNING_RATE, TREE_DEPTH, MIN_LEAF_ROWS, MODEL_SEED = 300, 0.05, 5, 20, 42
 CHANGEPOINT_SCALE = 0.3
-TEXT_LIMIT = 2000
 PANEL_TERMS, PANEL_SERIES, PANEL_BUCKETS = 12, 8, 50
 
 # Timestamp text of a posting; the Z is a literal, not a zone.

@@ -49,10 +49,3 @@ def rule_flag(lowered: Column, rule: Rule) -> Column:
         hit = hit & ~any_like(lowered, rule.none_of)
     return hit.cast("int")
 
-
-def cut_text(c: Column, limit: int | None) -> Column:
-    """Cut to ``limit`` characters, where an apostrophe counts twice; ``None`` keeps whole texts."""
-    if limit is None:
-        return c
-    doubled = F.substring(F.replace(c, F.lit("'"), F.lit("''")), 1, limit)
-    return F.replace(doubled, F.lit("''"), F.lit("'"))

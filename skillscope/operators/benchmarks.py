@@ -54,8 +54,7 @@ def list_token_benchmark(
     paid = survey.filter(F.col(value_col).isNotNull())
     tokens = explode_list(paid, list_col, [value_col], sep=sep, names=names)
     if with_median:
-        bounded = names is not None
-        stats = grouped_statistics(tokens, "skill_name", value_col, min_count, few_keys=bounded)
+        stats = grouped_statistics(tokens, "skill_name", value_col, min_count)
         return stats.select(
             "skill_name",
             F.round("mean", 0).alias("so_avg_comp_usd"),

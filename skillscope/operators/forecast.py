@@ -24,9 +24,6 @@ from skillscope.schemas import FORECAST_SCHEMA
 
 log = logging.getLogger(__name__)
 
-# The fitting code travels with the task, so executors need numpy and pandas but not this package.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
 # 80 % interval, prior widths and changepoint layout of the published model.
 INTERVAL_Z = 1.28155
 INTERVAL = (0.1, 0.9)
@@ -66,7 +63,7 @@ def _linear(points: DataFrame, horizon: int, min_points: int) -> DataFrame:
         F.max(x).alias("x_last"),
         F.regr_avgx(y, x).alias("x_mean"),
         F.regr_avgy(y, x).alias("y_mean"),
-        F.regr_slope(y, x).alias("slope"),
+        F.coalesce(F.regr_slope(y, x), F.lit(0.0)).alias("slope"),  # one month only: its mean
         F.regr_sxx(y, x).alias("sxx"),
         F.regr_syy(y, x).alias("syy"),
     ).filter(F.col("n") >= min_points)
@@ -85,11 +82,54 @@ def _linear(points: DataFrame, horizon: int, min_points: int) -> DataFrame:
     )
 
 
+def sparse_fit(gram: np.ndarray, moment: np.ndarray, penalty: np.ndarray) -> np.ndarray:
+    """The least of b'Gb/2 - m'b + sum(penalty * |b|), by an active set with signs.
+
+    Every step lowers the objective and so no set of signs comes twice: the search ends by itself.
+    Raises where the result does not meet the optimality conditions.
+    """
+    def value(b: np.ndarray) -> float:
+        return float(b @ gram @ b / 2 - moment @ b + penalty @ np.abs(b))
+
+    b = np.zeros(len(moment))
+    free, signs = penalty == 0, np.zeros(len(moment))
+    active, slack = free.copy(), 1e-9 * max(1.0, float(np.max(np.abs(moment))))
+    while True:
+        pull = gram @ b - moment
+        settled = np.where(active, np.abs(pull + penalty * signs), 0.0).max() <= slack
+        if settled:
+            excess = np.where(active, -np.inf, np.abs(pull) - penalty)
+            worst = int(np.argmax(excess))
+            if excess[worst] <= slack:
+                return b
+            active[worst], signs[worst] = True, -np.sign(pull[worst])
+        chosen = np.flatnonzero(active)
+        inner = gram[np.ix_(chosen, chosen)]
+        goal = np.zeros(len(b))
+        goal[chosen] = np.linalg.lstsq(inner, moment[chosen] - (penalty * signs)[chosen], rcond=None)[0]
+        # Along the way to the goal, the best of the goal and of all places where a sign changes.
+        crossing = [b[i] / (b[i] - goal[i]) for i in chosen if not free[i] and b[i] * goal[i] < 0]
+        steps = [b + t * (goal - b) for t in crossing] + [goal]
+        for t, place in zip(crossing, steps, strict=False):
+            place[np.abs(place) < 1e-14 * max(1.0, float(np.max(np.abs(place))))] = 0.0
+        best = min(steps, key=value)
+        if value(best) >= value(b) - 1e-15 * max(1.0, abs(value(b))):
+            if np.max(np.abs(best - b)) > 1e-6 * max(1.0, float(np.max(np.abs(b)))) or not settled:
+                residual = np.where(active, np.abs(pull + penalty * signs), np.abs(pull) - penalty)
+                if residual.max() > 1e-6 * max(1.0, float(np.max(np.abs(moment)))):
+                    raise ArithmeticError("the trend fit does not meet its optimality conditions")
+            return b
+        b = best
+        signs = np.where(free, 0.0, np.sign(b))
+        active = free | (b != 0)
+
+
 def fit_trend(t: np.ndarray, y: np.ndarray, scale: float = CHANGEPOINT_SCALE):
     """Most probable (slope, offset, slope changes), their places and the residual variance.
 
-    The Laplace prior on the changes is met by reweighted least squares; the variance under its
-    half-normal prior has a closed form in each round.
+    Given the variance, the fit under normal and Laplace priors is exact; given the fit, the
+    variance under its half-normal prior has a closed form. Both lower the same objective, and the
+    rounds end when neither does any more.
     """
     early = int(np.floor(len(t) * CHANGEPOINT_RANGE))
     count = min(CHANGEPOINTS, early - 1)
@@ -97,20 +137,18 @@ def fit_trend(t: np.ndarray, y: np.ndarray, scale: float = CHANGEPOINT_SCALE):
     knots = t[places]
     design = np.column_stack([t, np.ones_like(t), np.maximum(t[:, None] - knots[None, :], 0.0)])
     gram, moment = design.T @ design, design.T @ y
-    changes, variance = np.ones(len(knots)), 0.25
-    beta = np.zeros(2 + len(knots))
-    for _ in range(300):
-        prior = np.concatenate([
-            np.full(2, 1.0 / SLOPE_SD**2), 1.0 / (scale * np.maximum(np.abs(changes), 1e-8))
-        ])
-        new = np.linalg.solve(gram + variance * np.diag(prior), moment)
-        rss = float(np.sum((y - design @ new) ** 2))
+    ridge = np.concatenate([np.full(2, 1.0 / SLOPE_SD**2), np.zeros(len(knots))])
+    rate = np.concatenate([np.zeros(2), np.full(len(knots), 1.0 / scale)])
+    variance, before = 0.25, np.inf
+    while True:
+        beta = sparse_fit(gram + variance * np.diag(ridge), moment, variance * rate)
+        rss = float(np.sum((y - design @ beta) ** 2))
         variance = max((np.sqrt(len(t) ** 2 + 16.0 * rss) - len(t)) / 8.0, MIN_VARIANCE)
-        changes, moved = new[2:], np.max(np.abs(new - beta))
-        beta = new
-        if moved < 1e-9:
-            break
-    return beta, knots, variance
+        loss = (rss / (2 * variance) + len(t) / 2 * np.log(variance) + 2 * variance
+                + float(ridge @ beta**2) / 2 + float(rate @ np.abs(beta)))
+        if loss >= before - 1e-12 * max(1.0, abs(loss)):
+            return beta, knots, variance
+        before = loss
 
 
 def _simulate(t: np.ndarray, changes: np.ndarray, variance: float, seed: str) -> np.ndarray:
@@ -160,6 +198,8 @@ def piecewise_forecast(skill: str, months: pd.Series, y: pd.Series, horizon: int
 
 def _piecewise(points: DataFrame, horizon: int, min_points: int) -> DataFrame:
     columns = FORECAST_SCHEMA.names
+    # The fitting code travels with the task, so executors need numpy and pandas, not this package.
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
     def fit(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         empty = pd.DataFrame(columns=columns)
@@ -174,6 +214,17 @@ def _piecewise(points: DataFrame, horizon: int, min_points: int) -> DataFrame:
     return points.groupBy("skill").applyInPandas(fit, FORECAST_SCHEMA)
 
 
+def skipped_series(
+    series: DataFrame, forecasts: DataFrame, key: str = "skill", month: str = "month",
+    min_points: int = MIN_SERIES_POINTS,
+) -> DataFrame:
+    """Series with enough months that got no forecast, because their fit failed."""
+    enough = series.filter(F.col(month).isNotNull()).groupBy(F.col(key).alias("skill")).agg(
+        F.count(F.lit(1)).alias("months")
+    ).filter(F.col("months") >= min_points)
+    return enough.join(forecasts.select("skill").distinct(), "skill", "left_anti")
+
+
 def forecast_coverage(forecasts: DataFrame) -> DataFrame:
     """How many series got a forecast, and over which months."""
     return forecasts.agg(

@@ -69,10 +69,10 @@ def salary_by_skill(
     ordered: bool = True,
 ) -> DataFrame:
     """Pay statistics per skill with at least ``min_count`` paid postings. Reads ``enriched``
-    twice, so it should be a stored table."""
+    several times, so it should be a stored table."""
     paid = enriched.filter(F.col("salary_gbp").isNotNull())
     tall = unpivot_flags(paid, ["salary_gbp"], rules)
-    stats = grouped_statistics(tall, "skill", "salary_gbp", min_count, few_keys=True)
+    stats = grouped_statistics(tall, "skill", "salary_gbp", min_count)
     mart = stats.select(
         "skill",
         F.col("n").alias("job_count"),

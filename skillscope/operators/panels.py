@@ -24,15 +24,45 @@ def panel_terms(
     return grouped.orderBy(F.desc_nulls_last(agg), F.asc(term)).limit(size)
 
 
-def date_bucket(day: Column, first: Column, last: Column, target: int = PANEL_BUCKETS) -> Column:
-    """Start of the calendar unit that splits [first, last] into about ``target`` buckets."""
-    step = F.datediff(last, first) / F.lit(target)
-    return (
-        F.when(step >= 365, F.trunc(day, "YEAR"))
-        .when(step >= 21, F.trunc(day, "MONTH"))
-        .when(step >= 7, F.trunc(day, "WEEK"))
-        .otherwise(day.cast("date"))
-    )
+# The steps that an automatic date histogram may take, from fine to coarse.
+SECOND_STEPS = (1, 5, 10, 30, 60, 300, 600, 1800, 3600, 10800, 43200)
+DAY_STEPS = (1, 7)
+MONTH_STEPS = (1, 3, 12, 60, 120, 240, 600, 1200)
+
+
+def _steps(c: Column, timed: bool) -> list[tuple[Column, int, Column]]:
+    """(running unit number, step, start of the bucket) of ``c`` for every step."""
+    out = []
+    if timed:
+        stamp = c.cast("timestamp_ntz")
+        seconds = F.timestamp_diff("SECOND", F.lit("1970-01-01").cast("timestamp_ntz"), stamp)
+        for step in SECOND_STEPS:
+            start = F.timestamp_add(
+                "SECOND", F.floor(seconds / step) * step, F.lit("1970-01-01").cast("timestamp_ntz"))
+            out.append((seconds, step, start))
+    days = F.datediff(c, F.lit("1970-01-01").cast("date"))
+    months = 12 * F.year(c) + F.month(c) - 1
+    for step in DAY_STEPS:
+        start = F.date_add(F.lit("1970-01-01").cast("date"), (F.floor(days / step) * step).cast("int"))
+        out.append((days, step, start))
+    for step in MONTH_STEPS:
+        first = (F.floor(months / step) * step).cast("int")
+        out.append((months, step, F.make_date(F.floor(first / 12).cast("int"), first % 12 + 1, F.lit(1))))
+    kind = "timestamp_ntz" if timed else "date"
+    return [(number, step, start.cast(kind)) for number, step, start in out]
+
+
+def date_bucket(
+    moment: Column, first: Column, last: Column, timed: bool, target: int = PANEL_BUCKETS
+) -> Column:
+    """Start of the bucket of ``moment``, by the finest step that takes at most ``target`` buckets
+    from ``first`` to ``last``; steps below a day need ``timed`` values."""
+    ends = zip(_steps(first, timed), _steps(last, timed), _steps(moment, timed), strict=True)
+    chosen = F.lit(None)
+    for (low, step, _), (high, _, _), (_, _, start) in reversed(list(ends)):
+        fits = F.floor(high / step) - F.floor(low / step) < target
+        chosen = F.when(fits, start).otherwise(chosen)
+    return chosen
 
 
 def panel_histogram(
@@ -44,11 +74,13 @@ def panel_histogram(
     size: int = PANEL_SERIES,
     target: int = PANEL_BUCKETS,
 ) -> DataFrame:
-    """The ``size`` largest terms inside each date bucket; buckets without a row are absent."""
+    """The ``size`` largest terms inside each date bucket, of which there are at most ``target``;
+    buckets without a row are absent. A date column gives dates, a time column times."""
     present = df.filter(F.col(date).isNotNull() & F.col(term).isNotNull())
     span = present.agg(F.min(date).alias("first"), F.max(date).alias("last"))
     span = span.select(F.struct("first", "last").alias("s")).scalar()
-    bucket = date_bucket(F.col(date), span["first"], span["last"], target)
+    timed = df.schema[date].dataType.typeName() != "date"
+    bucket = date_bucket(F.col(date), span["first"], span["last"], timed, target)
     grouped = present.groupBy(bucket.alias("bucket"), term).agg(_metric(agg, field).alias(agg))
     largest = Window.partitionBy("bucket").orderBy(F.desc_nulls_last(agg), F.asc(term))
     return grouped.withColumn("_place", F.row_number().over(largest)).filter(

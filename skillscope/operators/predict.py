@@ -6,10 +6,9 @@ flag vector before training, and a vector is scored once: neither grows with the
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 from functools import reduce
-from operator import add
+from operator import add, or_
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
@@ -24,13 +23,13 @@ from skillscope.session import materialise
 from skillscope.sources.tables import constant_rows
 
 TEST_SHARE = 0.2
-
-# Up to this many rules, all flag vectors together are few enough for one partition.
-ONE_PARTITION_RULES = 12
+UNKNOWN = "flags_unknown"
 
 
 def in_holdout(id_col: Column, share: float = TEST_SHARE, seed: int = MODEL_SEED) -> Column:
     """A split that depends on the id alone: no sort, no shuffle, the same on every retry."""
+    if not 0 < share < 1:
+        raise ValueError(f"share must lie between 0 and 1, not {share!r}")
     limit = format(int(share * 2**32), "08x")
     return F.substring(F.md5(F.concat(F.lit(f"{seed}:"), id_col)), 1, 8) < F.lit(limit)
 
@@ -40,12 +39,15 @@ def holdout_split(df: DataFrame, id_col: str = "job_id", share: float = TEST_SHA
 
 
 def flag_vector(rules: Sequence[Rule]) -> Column:
-    """All flags as bits of one number; NULL as soon as one flag is."""
-    if len(rules) > 63:
-        raise ValueError("at most 63 rules fit into one flag vector")
-    return reduce(add, [
-        F.shiftleft(F.col(r.column).cast("long"), i) for i, r in enumerate(rules)
-    ])
+    """All flags as bits of one number; the bit above them says that some flag is unknown."""
+    if len(rules) > 62:
+        raise ValueError("at most 62 rules fit into one flag vector")
+    bits = [
+        F.shiftleft(F.coalesce(F.col(r.column), F.lit(0)).cast("long"), i)
+        for i, r in enumerate(rules)
+    ]
+    unknown = reduce(or_, [F.col(r.column).isNull() for r in rules])
+    return reduce(add, bits) + F.shiftleft(unknown.cast("long"), len(rules))
 
 
 def labelled_postings(enriched: DataFrame, rules: Sequence[Rule] = SKILL_RULES) -> DataFrame:
@@ -56,11 +58,9 @@ def labelled_postings(enriched: DataFrame, rules: Sequence[Rule] = SKILL_RULES)
 
 
 def _with_features(vectors: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    bits = [
-        F.getbit(F.col("flags"), F.lit(i)).cast("double").alias(r.column)
-        for i, r in enumerate(rules)
-    ]
-    assembler = VectorAssembler(inputCols=[r.column for r in rules], outputCol="features")
+    names = [*[r.column for r in rules], UNKNOWN]
+    bits = [F.getbit(F.col("flags"), F.lit(i)).cast("double").alias(n) for i, n in enumerate(names)]
+    assembler = VectorAssembler(inputCols=names, outputCol="features")
     return assembler.transform(vectors.select("*", *bits))
 
 
@@ -69,10 +69,13 @@ def fit_salary_model(
     rules: Sequence[Rule] = SKILL_RULES,
     trees: int = TREES,
     min_rows: int = MIN_LABELLED,
+    min_leaf_rows: int = MIN_LEAF_ROWS,
 ) -> tuple[GBTRegressionModel | None, DataFrame]:
     """The model (``None`` below ``min_rows``) and the flag vectors that occur.
 
-    One scan of the postings; everything after works on the combined vectors.
+    One scan of the postings; everything after works on the combined vectors, of which there are at
+    most as many as postings or as combinations of flags. No leaf of a tree has fewer postings than
+    ``min_leaf_rows``, so a tree over fewer than twice as many is its root.
     """
     vectors = materialise(
         labelled.groupBy("flags").agg(
@@ -82,23 +85,17 @@ def fit_salary_model(
         ),
         "flag-vectors",
     )
-    rows, weight = vectors.agg(
-        F.sum("rows"), F.sum(F.when(F.col("flags").isNotNull(), F.col("weight")))
-    ).first()
-    known = vectors.filter(F.col("flags").isNotNull())
+    rows, weight = vectors.agg(F.sum("rows"), F.sum("weight")).first()
     if (rows or 0) < min_rows or not weight:
-        return None, known
-    # A split needs MIN_LEAF_ROWS on both sides; with fewer rows in all there is only the mean.
-    splits = weight >= 2 * MIN_LEAF_ROWS
+        return None, vectors
+    depth = TREE_DEPTH if weight >= 2 * min_leaf_rows else 0
     booster = GBTRegressor(
         featuresCol="features", labelCol="label", weightCol="weight", seed=MODEL_SEED,
-        maxIter=trees, stepSize=LEARNING_RATE, maxDepth=TREE_DEPTH if splits else 0,
-        minWeightFractionPerNode=min(MIN_LEAF_ROWS / weight, 0.49),
+        maxIter=trees, stepSize=LEARNING_RATE, maxDepth=depth,
+        minWeightFractionPerNode=min(min_leaf_rows / weight, 0.4999) if depth else 0.0,
     )
-    train = _with_features(known.filter(F.col("weight") > 0), rules)
-    if len(rules) <= ONE_PARTITION_RULES:
-        train = train.coalesce(1)
-    return booster.fit(train), known
+    train = _with_features(vectors.filter(F.col("weight") > 0), rules)
+    return booster.fit(train), vectors
 
 
 def salary_holdout(
@@ -108,7 +105,16 @@ def salary_holdout(
     min_rows: int = MIN_LABELLED,
 ) -> DataFrame:
     """Actual and predicted pay of the held-out postings; empty below ``min_rows``."""
-    model, vectors = fit_salary_model(labelled, rules, trees, min_rows)
+    return score_holdout(labelled, *fit_salary_model(labelled, rules, trees, min_rows), rules)
+
+
+def score_holdout(
+    labelled: DataFrame,
+    model: GBTRegressionModel | None,
+    vectors: DataFrame,
+    rules: Sequence[Rule] = SKILL_RULES,
+) -> DataFrame:
+    """``salary_holdout`` for a model that is already there. Each vector is scored once."""
     if model is None:
         return labelled.sparkSession.createDataFrame([], PREDICTION_SCHEMA)
     scored = model.transform(_with_features(vectors, rules)).select("flags", "prediction")
@@ -141,12 +147,10 @@ def feature_importance(
     rules: Sequence[Rule] = SKILL_RULES,
     top: int = 5,
 ) -> DataFrame:
-    """The ``top`` flags by number of splits, with their share of the gain."""
-    splits = re.findall(r"If \(feature (\d+) ", model.toDebugString)
+    """The ``top`` flags by their share of the gain."""
     gains = model.featureImportances
     rows = [
-        (r.column, splits.count(str(i)), float(gains[i]) if i < gains.size else 0.0)
-        for i, r in enumerate(rules)
+        (r.column, float(gains[i]) if i < gains.size else 0.0) for i, r in enumerate(rules)
     ]
-    table = constant_rows(df.sparkSession, ("feature", "splits", "gain"), rows)
-    return table.orderBy(F.desc("splits"), F.asc("feature")).limit(top)
+    table = constant_rows(df.sparkSession, ("feature", "gain"), rows)
+    return table.orderBy(F.desc("gain"), F.asc("feature")).limit(top)

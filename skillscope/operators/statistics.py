@@ -2,23 +2,25 @@
 
 ``median()`` keeps a value -> count map of a whole group in one task. Here the first pass sums up
 buckets of neighbouring values, combined before the shuffle; they give all statistics but the median
-and tell which bucket holds the middle ranks. The second pass looks only into that bucket. Neither
-pass shuffles the values themselves.
+and tell which bucket holds the middle ranks. Each further pass splits that bucket's range of values
+into ``SPLITS`` parts and sums them up again, until the part with the middle rank holds one distinct
+value. No pass shuffles, sorts or gathers the values themselves, however they are spread.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from skillscope.session import materialise
+from skillscope.session import discard, materialise
 
 # Buckets per e-fold of a value: a bucket is a thousandth of the values in it wide.
 BUCKETS_PER_EFOLD = 1024
 
-# Middle buckets are broadcast up to this size; each row holds nine numbers and its key.
-BROADCAST_BYTES = 8 * 2**20
-ROW_BYTES = 72
+# Parts of a range in a further pass.
+SPLITS = 4096
 
 
 def _bucket(value: Column) -> Column:
@@ -27,70 +29,75 @@ def _bucket(value: Column) -> Column:
     return F.coalesce(F.signum(value).cast("long") * size, F.lit(0))
 
 
-def _fits_broadcast(middle: DataFrame, key: str, limit: int) -> bool:
-    keys = F.coalesce(F.sum(F.octet_length(F.col(key).cast("string"))), F.lit(0))
-    return middle.agg(F.count(F.lit(1)) * ROW_BYTES + keys).first()[0] <= limit
+def _part(value: Column) -> Column:
+    """Which part of [least, most] a value lies in; halved, as the width may exceed a double."""
+    share = (value / 2 - F.col("least") / 2) / (F.col("most") / 2 - F.col("least") / 2)
+    return F.least(F.floor(share * F.lit(float(SPLITS))), F.lit(SPLITS - 1))
+
 
+def _with_rank(parts: DataFrame, group: list[str], order: str) -> DataFrame:
+    """The part of each group that holds its ``rank``, with the rows ``before`` it."""
+    upto = Window.partitionBy(*group).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    parts = parts.withColumn("upto", F.col("before") + F.sum("size").over(upto))
+    parts = parts.withColumn("before", F.col("upto") - F.col("size"))
+    return parts.filter(F.expr("upto >= rank AND before < rank")).drop("upto", "size", order)
 
-def grouped_statistics(
-    df: DataFrame,
-    key: str,
-    value: str,
-    min_count: int = 1,
-    few_keys: bool = False,
-    broadcast_bytes: int = BROADCAST_BYTES,
-) -> DataFrame:
+
+def grouped_statistics(df: DataFrame, key: str, value: str, min_count: int = 1) -> DataFrame:
     """``n, mean, median, low, high`` per key with at least ``min_count`` rows.
 
-    Callers leave out NULL keys and values, and store ``df`` if it is costly: it is read twice.
-    ``few_keys`` states that the number of keys is bounded, by a rule list for instance: the one or
-    two middle buckets per key are then broadcast. Otherwise they are stored and measured first, and
-    above ``broadcast_bytes`` both sides meet in a shuffle by bucket.
+    NaN and infinite values count as missing. Callers leave out NULL keys and values, and store
+    ``df`` if it is costly: it is read once for each pass.
     """
-    placed = df.select(key, value, _bucket(F.col(value)).alias("bucket"))
+    v = F.col(value)
+    finite = ~F.isnan(v) & (F.abs(v) < F.lit(float("inf")))
+    placed = df.select(key, value).filter(finite)
     per_key = Window.partitionBy(key)
-    upto = per_key.orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    buckets = placed.groupBy(key, "bucket").agg(
+    buckets = placed.withColumn("bucket", _bucket(v)).groupBy(key, "bucket").agg(
         F.count(F.lit(1)).alias("size"),
         F.sum(value).alias("total"),
         F.min(value).alias("least"),
         F.max(value).alias("most"),
     )
-    # Ranks are 1-based; an even count has two middle ranks, which may lie in two buckets.
-    middle = (
+    whole = (
         buckets
-        .withColumn("upto", F.sum("size").over(upto))
         .withColumn("n", F.sum("size").over(per_key))
         .withColumn("mean", F.sum("total").over(per_key) / F.col("n"))
         .withColumn("low", F.min("least").over(per_key))
         .withColumn("high", F.max("most").over(per_key))
-        .withColumn("rank_1", F.expr("(n + 1) div 2"))
-        .withColumn("rank_2", F.expr("n div 2 + 1"))
-        .withColumn("before", F.col("upto") - F.col("size"))
-        .filter((F.col("n") >= min_count) & F.expr("upto >= rank_1 AND before < rank_2"))
+        .filter(F.col("n") >= min_count)
     )
-    carried = ["n", "mean", "low", "high", "rank_1", "rank_2", "before"]
-    middle = middle.select(key, "bucket", *carried)
-    if not few_keys:
-        middle = materialise(middle, "middle-buckets")
-    rows = F.count(F.lit(1)).alias("rows")
-    if few_keys or _fits_broadcast(middle, key, broadcast_bytes):
-        inside = placed.join(F.broadcast(middle), [key, "bucket"])
-        combined = inside.groupBy(key, "bucket", value, *carried).agg(rows)
-    else:
-        # Equal values are combined first, so that a hot one is a single row in its bucket.
-        combined = placed.groupBy(key, "bucket", value).agg(rows).join(middle, [key, "bucket"])
-    in_bucket = (
-        Window.partitionBy(key, "bucket").orderBy(value)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    ranked = combined.withColumn("rank", F.col("before") + F.sum("rows").over(in_bucket))
-    lower = F.min(F.when(F.col("rank") >= F.col("rank_1"), F.col(value)))
-    upper = F.min(F.when(F.col("rank") >= F.col("rank_2"), F.col(value)))
-    return ranked.groupBy(key).agg(
+    # Ranks are 1-based; an even count has two middle ranks, which may lie in two buckets.
+    ranks = F.expr("inline(array(named_struct('which', 1, 'rank', (n + 1) div 2), "
+                   "named_struct('which', 2, 'rank', n div 2 + 1)))")
+    carried = ["n", "mean", "low", "high"]
+    ranked = whole.select(key, "bucket", "size", "least", "most", *carried, ranks)
+    ranked = ranked.withColumn("before", F.lit(0).cast("long"))
+    group = [key, "which"]
+    state = materialise(_with_rank(ranked, group, "bucket"), "middle")
+    found, stores = [], [state]
+    while state.filter("least < most").limit(1).count():
+        found.append(state.filter("least = most"))
+        wide = state.filter("least < most")
+        inside = placed.join(wide, key).filter(F.col(value).between(F.col("least"), F.col("most")))
+        parts = inside.withColumn("part", _part(F.col(value))).groupBy(
+            *group, "rank", "before", "part", *carried
+        ).agg(
+            F.count(F.lit(1)).alias("size"), F.min(value).alias("least"),
+            F.max(value).alias("most"),
+        )
+        state = materialise(_with_rank(parts, group, "part"), "middle")
+        stores.append(state)
+    names = [*group, "least", *carried]
+    ends = reduce(DataFrame.unionAll, [part.select(*names) for part in [*found, state]])
+    lower, upper = (F.max(F.when(F.col("which") == i, F.col("least"))) for i in (1, 2))
+    result = materialise(ends.groupBy(key).agg(
         F.max("n").alias("n"),
         F.max("mean").alias("mean"),
         (lower + (upper - lower) * F.lit(0.5)).alias("median"),
         F.max("low").alias("low"),
         F.max("high").alias("high"),
-    )
+    ), "statistics")
+    for stored in stores:
+        discard(stored)
+    return result

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from skillscope.plans.views import LABEL_MAP, PAIRS, RULES, SPEC
-from skillscope.sources import generate as g
 
 
 def _text(value: str | None) -> str:
@@ -37,7 +36,7 @@ TABLES = {
                nullif(o_orderpriority, '5-LOW') AS category_label, text AS description,
                CASE WHEN NOT (o_orderstatus = 'P' AND lang = 'es')
                     THEN strftime(o_orderdate, '%Y-%m-%dT%H:%M:%SZ') END AS created
-        FROM documents JOIN orders ON doc_id = o_orderkey""",
+        FROM documents LEFT JOIN orders ON doc_id = o_orderkey""",
     "jobs": """
         SELECT id AS job_id, title AS job_title, company_name, location_name,
                CASE WHEN salary_min IS NULL THEN salary_max
@@ -122,8 +121,8 @@ TABLES = {
                so_respondent_count AS global_so_respondents,
                round(so_avg_comp_usd * 0.79, 0) AS global_so_avg_salary_gbp_equiv,
                round(uk_avg_gbp - so_avg_comp_usd * 0.79, 0) AS uk_vs_global_gap_gbp,
-               CASE sign(uk_avg_gbp - so_avg_comp_usd * 0.79)
-                    WHEN 1 THEN 'UK above global' WHEN -1 THEN 'UK below global'
+               CASE WHEN uk_avg_gbp > so_avg_comp_usd * 0.79 THEN 'UK above global'
+                    WHEN uk_avg_gbp < so_avg_comp_usd * 0.79 THEN 'UK below global'
                     ELSE 'Parity' END AS market_position
         FROM local_pay JOIN names ON skill = label LEFT JOIN bench ON word = skill_name""",
     "split": """
@@ -199,70 +198,52 @@ def _top_terms(source: str, field: str, agg: str) -> str:
 
 
 def _top_per_bucket(source: str, date: str, field: str, agg: str) -> str:
+    """Days or weeks counted from 1970, else months, quarters or years: the finest that gives at
+    most 50 buckets."""
     cast = "BIGINT" if agg == "sum" else "DOUBLE"
     return f"""
         SELECT bucket, skill, CAST(m AS {cast}) AS {agg}
-        FROM (SELECT CAST(date_trunc(unit, {date}) AS DATE) AS bucket, skill, {agg}({field}) AS m
-              FROM {source}, (SELECT CASE WHEN step >= 365 THEN 'year' WHEN step >= 21 THEN 'month'
-                                          WHEN step >= 7 THEN 'week' ELSE 'day' END AS unit
-                              FROM (SELECT (max({date}) - min({date})) / 50.0 AS step
-                                    FROM {source}))
+        FROM (SELECT CASE WHEN d <= 50 THEN {date}
+                          WHEN w <= 50 THEN DATE '1970-01-01' + CAST(7 * (({date} - DATE '1970-01-01') // 7) AS INTEGER)
+                          WHEN mm <= 50 THEN CAST(date_trunc('month', {date}) AS DATE)
+                          WHEN q <= 50 THEN CAST(date_trunc('quarter', {date}) AS DATE)
+                          ELSE CAST(date_trunc('year', {date}) AS DATE) END AS bucket,
+                     skill, {agg}({field}) AS m
+              FROM {source}, (SELECT 1 + max({date}) - min({date}) AS d,
+                                     1 + (max({date}) - DATE '1970-01-01') // 7
+                                       - (min({date}) - DATE '1970-01-01') // 7 AS w,
+                                     1 + datediff('month', min({date}), max({date})) AS mm,
+                                     1 + datediff('quarter', min({date}), max({date})) AS q
+                              FROM {source})
               WHERE {date} IS NOT NULL GROUP BY ALL)
         QUALIFY row_number() OVER (PARTITION BY bucket ORDER BY m DESC NULLS LAST, skill) <= 8"""
 
 
-def _draw(seed: str, name: str, n: int) -> str:
-    return f"CAST('0x' || substr(md5({seed} || ':{name}'), 1, 8) AS BIGINT) % {n}"
-
-
-def _pick(seed: str, name: str, values: tuple) -> str:
-    return f"([{', '.join(map(_text, values))}])[1 + {_draw(seed, name, len(values))}]"
-
-
-def _generated_postings() -> str:
-    titles = tuple(t for t, _ in g.TITLES)
-    words = ", ".join("[" + ", ".join(map(_text, w)) + "]" for _, w in g.TITLES)
-    return f"""
-        SELECT substr(md5(seed), 1, 12) AS id, title,
-               {_pick('seed', 'company', g.COMPANIES)} AS company_name,
-               {_pick('seed', 'location', g.LOCATIONS)} AS location_name,
-               CAST(low AS DOUBLE) AS salary_min, CAST(low + span AS DOUBLE) AS salary_max,
-               {_pick('seed', 'contract', g.CONTRACTS)} AS contract_type,
-               'IT Jobs' AS category_label,
-               'We are looking for a ' || title || '. Skills: ' || array_to_string(words, ', ')
-                   || '. Experience with ' || array_to_string(words[1:2], ', ') || ' required.'
-                   AS description,
-               ds || 'T09:00:00Z' AS created
-        FROM (SELECT seed, ds, {_pick('seed', 'title', titles)} AS title,
-                     ([{words}])[1 + {_draw('seed', 'title', len(titles))}] AS words,
-                     (35 + {_draw('seed', 'min', 56)}) * 1000 AS low,
-                     (5 + {_draw('seed', 'span', 21)}) * 1000 AS span
-              FROM (SELECT strftime(o_orderdate, '%Y-%m-%d') AS ds,
-                           strftime(o_orderdate, '%Y-%m-%d') || o_orderkey AS seed FROM orders))"""
-
-
-def _generated_survey() -> str:
-    ranked = "list_sort([" + ", ".join(
-        f"{{'r': md5(seed || ':%s:{v}'), 'v': {_text(v)}}}" for v in g.LANGUAGES
-    ) + "])"
-
-    def sample(name: str, size: str) -> str:
-        return (f"array_to_string(list_transform(({ranked % ((name,) * len(g.LANGUAGES))})"
-                f"[1:{size}], lambda e: e.v), ';')")
-
-    return f"""
-        SELECT seed AS ResponseId, {_pick('seed', 'country', g.COUNTRIES)} AS Country,
-               {_pick('seed', 'role', g.ROLES)} AS DevType,
-               CAST({_draw('seed', 'years', 21)} AS VARCHAR) AS YearsCodePro,
-               {_pick('seed', 'level', g.LEVELS)} AS EdLevel,
-               {_pick('seed', 'remote', g.REMOTE)} AS RemoteWork,
-               {sample('used', f"2 + {_draw('seed', 'n_used', 4)}")} AS LanguageHaveWorkedWith,
-               {sample('wanted', '3')} AS LanguageWantToWorkWith,
-               {_pick('seed', 'database', g.DATABASES)} AS DatabaseHaveWorkedWith,
-               {_pick('seed', 'platform', g.PLATFORMS)} AS PlatformHaveWorkedWith,
-               CAST((30 + {_draw('seed', 'pay', 151)}) * 1000 AS VARCHAR) AS ConvertedCompYearly
-        FROM (SELECT CAST(c_custkey AS VARCHAR) AS seed FROM customer)"""
-
+# The default rules once more, typed out; the swapped words are the ones of the query.
+SWAPPED = "text"
+for _word, _keyword in {
+    "the": "python", "and": "TypeScript", "of": "java", "in": "mysql", "to": "react", "that": "node",
+    "de": "docker", "und": "AWS", "la": "machine learning", "der": "go", "que": "rust", "die": "scala",
+}.items():
+    SWAPPED = f"replace({SWAPPED}, ' {_word} ', ' {_keyword} ')"
+DEFAULT_RULES = f"""
+    SELECT doc_id, CAST(contains(t, 'python') AS INTEGER) AS skill_python,
+           CAST(contains(t, 'javascript') OR contains(t, 'typescript') AS INTEGER) AS skill_javascript,
+           CAST(contains(t, 'java') AND NOT contains(t, 'javascript') AS INTEGER) AS skill_java,
+           CAST(contains(t, ' sql') OR contains(t, 'postgresql') OR contains(t, 'mysql') AS INTEGER) AS skill_sql,
+           CAST(contains(t, 'react') AS INTEGER) AS skill_react,
+           CAST(contains(t, 'node') AS INTEGER) AS skill_node,
+           CAST(contains(t, 'docker') OR contains(t, 'kubernetes') OR contains(t, 'k8s') AS INTEGER) AS skill_devops,
+           CAST(contains(t, 'aws') OR contains(t, 'azure') OR contains(t, 'gcp') OR contains(t, 'cloud') AS INTEGER)
+               AS skill_cloud,
+           CAST(contains(t, 'machine learning') OR contains(t, ' ml ') OR contains(t, 'data science') AS INTEGER)
+               AS skill_ml,
+           CAST(contains(t, 'golang') OR contains(t, ' go ') AS INTEGER) AS skill_go,
+           CAST(contains(t, 'rust') AS INTEGER) AS skill_rust,
+           CAST(contains(t, 'scala') AS INTEGER) AS skill_scala
+    FROM (SELECT doc_id, lower({SWAPPED}) AS t FROM documents)"""
+
+SURVEY_CELLS = "SELECT * REPLACE (nullif(ConvertedCompYearly, 'NA') AS ConvertedCompYearly) FROM survey_raw"
 
 ORACLE = {
     "flatten_postings": _with("SELECT * FROM jobs_raw", "jobs_raw"),
@@ -277,8 +258,7 @@ ORACLE = {
                                 ELSE (low + high) / 2 END AS salary
         FROM (SELECT o_orderkey, {LOW} AS low, {HIGH} AS high FROM orders)""",
     "null_missing": _with(
-        "SELECT ResponseId, nullif(ConvertedCompYearly, 'NA') AS ConvertedCompYearly "
-        "FROM survey_raw", "survey_raw",
+        SURVEY_CELLS, "survey_raw",
     ),
     "require_columns": _with(
         "SELECT * REPLACE (CAST(NULL AS VARCHAR) AS EdLevel, "
@@ -336,6 +316,19 @@ ORACLE = {
     "index_docs": _with(
         "SELECT 'skill_demand' AS index, skill, month, job_count FROM demand", "demand"
     ),
-    "gen_postings": _generated_postings(),
-    "gen_survey": _generated_survey(),
+    "salary_holdout": _with(
+        "SELECT job_id, job_title, salary_gbp AS actual_salary_gbp, TRUE AS plausible "
+        "FROM split WHERE is_test", "split",
+    ),
+    "feature_importance":
+        "SELECT CAST(range AS INTEGER) AS place, TRUE AS known, TRUE AS in_order FROM range(1, 6)",
+    "demand_forecast_piecewise": _with(
+        "SELECT skill, forecast_date, TRUE AS in_order FROM ahead", "ahead"
+    ),
+    "default_rules": DEFAULT_RULES,
+    "scan_postings_json": _with("SELECT * FROM jobs_raw", "jobs_raw"),
+    "scan_survey_csv": _with(SURVEY_CELLS, "survey_raw"),
+    "store_table": _with("SELECT * FROM demand", "demand"),
+    "store_parquet": _with("SELECT * FROM demand", "demand"),
+    "store_index": _with("SELECT *, 'demand' AS indexes FROM demand", "demand"),
 }

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from skillscope.defaults import SKILL_RULES
 from skillscope.functions.numbers import midpoint
-from skillscope.operators import marts
+from skillscope.operators import marts, tagging
 from skillscope.operators.benchmarks import (
     benchmark_pivot, explode_list, flag_stats, list_token_benchmark,
 )
@@ -16,27 +18,28 @@ from skillscope.operators.forecast import forecast, forecast_coverage
 from skillscope.operators.panels import panel_histogram, panel_terms
 from skillscope.operators.predict import (
     feature_importance, fit_salary_model, holdout_split, labelled_postings, regression_metrics,
-    salary_holdout,
+    score_holdout,
 )
 from skillscope.operators.staging import stage_postings, stage_survey
 from skillscope.operators.tagging import total_flags, unpivot_flags
 from skillscope.plans.views import (
-    LABEL_MAP, RULES, SPEC, benchmarks, enriched_postings, flagged_documents, pay_bounds,
+    KEYWORDS, LABEL_MAP, RULES, SPEC, benchmarks, enriched_postings, flagged_documents, pay_bounds,
     raw_postings, raw_survey, staged_survey, table, tagged_postings,
 )
 from skillscope.schemas import SURVEY_COLUMNS
-from skillscope.session import materialise
-from skillscope.sinks import documents
-from skillscope.sources.generate import generate_postings, generate_survey
-from skillscope.sources.postings import explode_pages, flatten_postings, parse_postings
-from skillscope.sources.survey import null_missing, require_columns
+from skillscope.session import materialise, scratch_dir
+from skillscope.sinks import (
+    documents, index_tables, land_json, replace_table, write_empty, write_parquet, write_survey_csv,
+)
+from skillscope.sources.postings import (
+    explode_pages, flatten_postings, parse_postings, read_postings,
+)
+from skillscope.sources.survey import null_missing, read_survey, require_columns
+from skillscope.sources.tables import read_parquet
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
 
-# Trees of the registered model queries; the library default is 300.
-QUERY_TREES = 20
-
 
 def query(name: str) -> Callable[[Query], Query]:
     def register(fn: Query) -> Query:
@@ -91,7 +94,7 @@ def salary_midpoint(spark, sf_dir):
 
 @query("null_missing")
 def survey_missing_cells(spark, sf_dir):
-    return null_missing(raw_survey(spark, sf_dir)).select("ResponseId", "ConvertedCompYearly")
+    return null_missing(raw_survey(spark, sf_dir))
 
 
 @query("require_columns")
@@ -193,7 +196,8 @@ def _mean_predictions(spark, sf_dir):
     """Predictions that SQL can repeat: mean training pay of the same flags, else of all."""
     labelled = _labelled(spark, sf_dir)
     train = labelled.filter(~F.col("is_test"))
-    means = train.groupBy("flags").agg(F.avg("salary_gbp").alias("mean"))
+    # At most a row per combination of flags; stored, so that its size is known to the join.
+    means = materialise(train.groupBy("flags").agg(F.avg("salary_gbp").alias("mean")), "means")
     overall = train.agg(F.avg("salary_gbp").alias("m")).scalar()
     return labelled.filter("is_test").join(means, "flags", "left").select(
         "job_id",
@@ -216,16 +220,40 @@ def mart_predictions(spark, sf_dir):
     return marts.prediction_mart(_mean_predictions(spark, sf_dir))
 
 
+FITS: dict[tuple[str, str], tuple] = {}
+
+
+def _fitted(spark, sf_dir):
+    """One fit for the queries on predictions and on importances."""
+    run = (spark.sparkContext.applicationId, sf_dir)
+    if run not in FITS:
+        labelled = _labelled(spark, sf_dir)
+        FITS[run] = (labelled, *fit_salary_model(labelled, RULES))
+    return FITS[run]
+
+
 @query("salary_holdout")
 def salary_holdout_rows(spark, sf_dir):
-    return salary_holdout(_labelled(spark, sf_dir), RULES, QUERY_TREES)
+    """Every held-out posting, and whether its prediction is a pay within what was paid."""
+    labelled, model, vectors = _fitted(spark, sf_dir)
+    scored = score_holdout(labelled, model, vectors, RULES)
+    paid = labelled.agg(F.struct(F.min("salary_gbp").alias("low"), F.max("salary_gbp").alias("high")))
+    predicted, ends = F.col("predicted_salary_gbp"), F.col("ends")
+    plausible = F.coalesce(predicted.between(ends["low"], ends["high"]), F.lit(False))
+    return scored.withColumn("ends", paid.scalar()).select(
+        "job_id", "job_title", "actual_salary_gbp", plausible.alias("plausible"))
 
 
 @query("feature_importance")
 def feature_importances(spark, sf_dir):
-    labelled = labelled_postings(tagged_postings(spark, sf_dir), RULES)
-    model, vectors = fit_salary_model(labelled, RULES, QUERY_TREES)
-    return feature_importance(model, vectors, RULES)
+    """The five places, with whether the feature is a flag and the gains descend."""
+    _, model, vectors = _fitted(spark, sf_dir)
+    top = feature_importance(model, vectors, RULES)
+    order = Window.orderBy(F.desc("gain"), F.asc("feature"))
+    known = F.col("feature").isin(*[r.column for r in RULES])
+    above = F.coalesce(F.lag("gain").over(order) >= F.col("gain"), F.col("gain") <= 1)
+    return top.select(F.row_number().over(order).alias("place"), known.alias("known"),
+                      (above & (F.col("gain") >= 0)).alias("in_order"))
 
 
 def _demand(spark, sf_dir):
@@ -250,7 +278,11 @@ def demand_forecast(spark, sf_dir):
 
 @query("demand_forecast_piecewise")
 def demand_forecast_piecewise(spark, sf_dir):
-    return forecast(_demand(spark, sf_dir), method="piecewise")
+    """Every forecast month, and whether its bounds stand in order, not below zero."""
+    ahead = forecast(_demand(spark, sf_dir), method="piecewise")
+    low, point, high = (F.col(c) for c in ("demand_lower", "predicted_demand", "demand_upper"))
+    return ahead.select("skill", "forecast_date", (
+        (low >= 0) & (low <= high) & (point >= 0) & (high < F.lit(float("inf")))).alias("in_order"))
 
 
 @query("forecast_coverage")
@@ -302,19 +334,67 @@ def index_docs(spark, sf_dir):
     return docs.select("index", body.alias("b")).select("index", "b.*")
 
 
-@query("gen_postings")
-def gen_postings(spark, sf_dir):
-    """One generated posting per order, dated by the order."""
-    ds = F.date_format("o_orderdate", "yyyy-MM-dd")
-    keys = table(spark, sf_dir, "orders").select("o_orderkey", ds.alias("ds"))
-    return generate_postings(keys, "o_orderkey", "ds").select(
-        "id", "title", F.col("company.display_name").alias("company_name"),
-        F.col("location.display_name").alias("location_name"), "salary_min", "salary_max",
-        "contract_type", F.col("category.label").alias("category_label"), "description", "created",
-    )
-
-
-@query("gen_survey")
-def gen_survey(spark, sf_dir):
-    """One generated respondent per customer."""
-    return generate_survey(table(spark, sf_dir, "customer").select("c_custkey"), "c_custkey")
+@query("default_rules")
+def default_rules(spark, sf_dir):
+    """The default rules, on texts whose commonest words are swapped for the rules' keywords."""
+    text = F.col("text")
+    for word, keyword in KEYWORDS.items():
+        text = F.replace(text, F.lit(f" {word} "), F.lit(f" {keyword} "))
+    docs = table(spark, sf_dir, "documents").select("doc_id", text.alias("text"))
+    return tagging.keyword_flags(docs, "text", SKILL_RULES, ["doc_id"])
+
+
+def _folder(spark, name):
+    return f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@query("scan_postings_json")
+def scan_postings_json(spark, sf_dir):
+    """Postings landed as JSON lines, read back; a second landing of the day changes nothing."""
+    raw, root = raw_postings(spark, sf_dir), _folder(spark, "landing")
+    nested = raw.select(_nested(raw).alias("p")).select("p.*")
+    path = land_json(nested, root, "2024-01-01")
+    land_json(nested.limit(1), root, "2024-01-01", replace=False)
+    return flatten_postings(read_postings(spark, path, json_lines=True))
+
+
+@query("scan_survey_csv")
+def scan_survey_csv(spark, sf_dir):
+    """Two CSV folders, the second with its columns the other way round."""
+    raw, root = raw_survey(spark, sf_dir), _folder(spark, "survey")
+    write_survey_csv(raw.filter("RemoteWork = 'O'"), f"{root}/a")
+    rest = raw.filter("RemoteWork <> 'O' OR RemoteWork IS NULL")
+    write_survey_csv(rest.select(*reversed(raw.columns)), f"{root}/b")
+    write_survey_csv(raw.limit(1), f"{root}/b")
+    return require_columns(read_survey(spark, [f"{root}/a", f"{root}/b"], multi_line=False))
+
+
+@query("store_table")
+def store_table(spark, sf_dir):
+    """A stored table that takes the place of an older one."""
+    demand, root = _demand(spark, sf_dir), _folder(spark, "tables")
+    replace_table(demand.limit(1), "stored_skill_demand", root)
+    return replace_table(demand, "stored_skill_demand", root)
+
+
+@query("store_parquet")
+def store_parquet(spark, sf_dir):
+    """Parquet written twice and read by its schema, together with an empty typed result."""
+    demand, root = _demand(spark, sf_dir), _folder(spark, "parquet")
+    write_parquet(demand.limit(1), f"{root}/full")
+    write_parquet(demand, f"{root}/full")
+    write_empty(spark, demand.schema, f"{root}/empty")
+    return read_parquet(spark, f"{root}/full", demand.schema).unionAll(
+        read_parquet(spark, f"{root}/empty", demand.schema))
+
+
+@query("store_index")
+def store_index(spark, sf_dir):
+    """Index folders of stored tables, read back; an absent table is left out."""
+    root = _folder(spark, "indexes")
+    replace_table(_demand(spark, sf_dir), "indexed_skill_demand", f"{root}/tables")
+    names = {"demand": "indexed_skill_demand", "nothing": "no_such_table"}
+    index_tables(spark, names, root)
+    written = index_tables(spark, names, root)
+    lines = spark.read.schema("skill STRING, month DATE, job_count BIGINT").json(f"{root}/demand")
+    return lines.withColumn("indexes", F.lit(",".join(written)))

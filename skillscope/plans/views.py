@@ -75,6 +75,12 @@ LABEL_MAP = {
 }
 
 
+# Word of the texts -> keyword that stands in for it.
+KEYWORDS = {
+    "the": "python", "and": "TypeScript", "of": "java", "in": "mysql", "to": "react", "that": "node",
+    "de": "docker", "und": "AWS", "la": "machine learning", "der": "go", "que": "rust", "die": "scala",
+}
+
 # The table columns that the queries read.
 SCHEMAS = {
     "documents": "doc_id BIGINT, text STRING, lang STRING, source STRING",
@@ -83,7 +89,6 @@ SCHEMAS = {
     "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_linenumber INT, l_extendedprice DOUBLE, "
                 "l_discount DOUBLE, l_returnflag STRING, l_linestatus STRING",
     "part": "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT",
-    "customer": "c_custkey BIGINT",
 }
 
 
@@ -103,7 +108,7 @@ def _postings(documents: DataFrame, orders: DataFrame, *extra: str) -> DataFrame
     low, high = pay_bounds()
     created = F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'")
     undated = (F.col("o_orderstatus") == "P") & (F.col("lang") == "es")
-    return documents.join(orders, F.col("doc_id") == F.col("o_orderkey")).select(
+    return documents.join(orders, F.col("doc_id") == F.col("o_orderkey"), "left").select(
         F.col("doc_id").cast("string").alias("id"),
         F.concat(F.lit("Role "), "source").alias("title"),
         F.col("source").alias("company_name"),

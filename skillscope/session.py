@@ -53,3 +53,11 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     path = os.path.join(scratch_dir(spark), f"{label}-{uuid.uuid4().hex}")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def discard(df: DataFrame) -> None:
+    """Delete what ``materialise`` wrote for ``df``, once nothing reads it any more."""
+    spark = df.sparkSession
+    for folder in {os.path.dirname(f) for f in df.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

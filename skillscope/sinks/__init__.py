@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -61,6 +62,20 @@ def documents(df: DataFrame, index: str) -> DataFrame:
     return df.select(F.lit(index).alias("index"), body.alias("document"))
 
 
+def _swap(spark: SparkSession, fresh: str, place: str) -> None:
+    """Put the complete folder ``fresh`` in the place of an older one, which goes last."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    files = path(place).getFileSystem(spark._jsc.hadoopConfiguration())
+    old = path(f"{fresh}.old")
+    had = files.exists(path(place)) and files.rename(path(place), old)
+    if not files.rename(path(fresh), path(place)):
+        if had:
+            files.rename(old, path(place))
+        raise OSError(f"{place} could not be replaced")
+    if had:
+        files.delete(old, True)
+
+
 def index_tables(
     spark: SparkSession,
     index_map: Mapping[str, str],
@@ -70,7 +85,8 @@ def index_tables(
 ) -> list[str]:
     """Replace each index by the documents of its table; absent tables are skipped.
 
-    By default an index is a folder of JSON lines under ``target``. Another ``fmt`` hands the rows
+    By default an index is a folder of JSON lines under ``target``; the new one is written next to
+    the old one and takes its place when it is whole. Another ``fmt`` hands the rows
     themselves to a connector, with the index name appended to ``target``.
     """
     written = []
@@ -81,7 +97,11 @@ def index_tables(
         rows = spark.table(table)
         if fmt == "text":
             rows = documents(rows, index).select(F.col("document").alias("value"))
-        writer = rows.write.mode("overwrite").format(fmt).options(**(options or {}))
-        writer.save(f"{target}/{index}")
+        if fmt == "text":
+            fresh = f"{target}/.{index}-{uuid.uuid4().hex}"
+            rows.write.format(fmt).options(**(options or {})).save(fresh)
+            _swap(spark, fresh, f"{target}/{index}")
+        else:
+            rows.write.mode("overwrite").format(fmt).options(**(options or {})).save(f"{target}/{index}")
         written.append(index)
     return written

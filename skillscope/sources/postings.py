@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skillscope.functions.numbers import plain_number
-from skillscope.functions.text import cut_text
 from skillscope.schemas import PAGE_JSON_SCHEMA, POSTING_JSON_SCHEMA
 
 
@@ -38,33 +37,22 @@ def _text(name: str, path: str = "$") -> Column:
     return F.try_variant_get(F.col(name), path, "string")
 
 
-def flatten_postings(postings: DataFrame, text_limit: int | None = None) -> DataFrame:
-    """Nested postings to the ten flat raw columns.
+def flatten_postings(postings: DataFrame) -> DataFrame:
+    """Nested postings to the ten flat raw columns, texts whole.
 
     An absent description counts as empty text, a JSON null stays NULL. Pay bounds that are not
-    numbers become NULL. ``text_limit`` cuts every text column; whole texts by default.
+    numbers become NULL.
     """
     description = F.when(F.col("description").isNull(), F.lit("")).otherwise(_text("description"))
-    texts = {
-        "id": _text("id"),
-        "title": _text("title"),
-        "company_name": _text("company", "$.display_name"),
-        "location_name": _text("location", "$.display_name"),
-        "contract_type": _text("contract_type"),
-        "category_label": _text("category", "$.label"),
-        "description": description,
-        "created": _text("created"),
-    }
-    cut = {name: cut_text(c, text_limit).alias(name) for name, c in texts.items()}
     return postings.select(
-        cut["id"],
-        cut["title"],
-        cut["company_name"],
-        cut["location_name"],
+        _text("id").alias("id"),
+        _text("title").alias("title"),
+        _text("company", "$.display_name").alias("company_name"),
+        _text("location", "$.display_name").alias("location_name"),
         plain_number(_text("salary_min")).alias("salary_min"),
         plain_number(_text("salary_max")).alias("salary_max"),
-        cut["contract_type"],
-        cut["category_label"],
-        cut["description"],
-        cut["created"],
+        _text("contract_type").alias("contract_type"),
+        _text("category", "$.label").alias("category_label"),
+        description.alias("description"),
+        _text("created").alias("created"),
     )

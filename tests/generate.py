@@ -71,14 +71,13 @@ def generate_postings(keys: DataFrame, key: str, ds: str) -> DataFrame:
         F.col("low").alias("salary_min"),
         (F.col("low") + F.col("span")).alias("salary_max"),
         _pick(seed, "contract", CONTRACTS).alias("contract_type"),
-        F.struct(F.lit("IT Jobs").alias("label")).alias("category"),
+        F.struct(F.lit("Technology").alias("label")).alias("category"),
         F.concat(
-            F.lit("We are looking for a "), title,
-            F.lit(". Skills: "), F.array_join(words, ", "),
-            F.lit(". Experience with "), F.array_join(F.slice(words, 1, 2), ", "),
-            F.lit(" required."),
+            F.lit("Vacancy: "), title, F.lit(". You will use "), F.array_join(words, ", "),
+            F.lit(" from day to day, and mostly "), F.array_join(F.slice(words, 1, 2), " and "),
+            F.lit("."),
         ).alias("description"),
-        F.concat(F.col("ds"), F.lit("T09:00:00Z")).alias("created"),
+        F.concat(F.col("ds"), F.lit("T08:30:00Z")).alias("created"),
     )
 
 

@@ -4,7 +4,9 @@ import numpy as np
 import pandas as pd
 import pytest
 
-from skillscope.operators.forecast import fit_trend, forecast, forecast_coverage, piecewise_forecast
+from skillscope.operators.forecast import (
+    fit_trend, forecast, forecast_coverage, piecewise_forecast, skipped_series, sparse_fit,
+)
 from skillscope.schemas import FORECAST_SCHEMA
 
 SERIES = "skill string, month date, job_count bigint"
@@ -76,6 +78,7 @@ def test_failing_series_is_skipped(spark):
     got = by_skill(forecast(df))
     assert len(got["good"]) == 6
     assert "bad" not in got
+    assert [tuple(r) for r in skipped_series(df, forecast(df)).collect()] == [("bad", 5)]
 
 
 def test_piecewise_follows_a_bend():
@@ -115,3 +118,30 @@ def test_coverage(spark):
     row = forecast_coverage(forecast(df, method="linear")).first()
     assert (row["skills"], row["forecast_rows"]) == (2, 12)
     assert (row["first_month"], row["last_month"]) == (dt.date(2023, 4, 1), dt.date(2023, 11, 1))
+
+
+def test_linear_without_spread_gives_the_mean(spark):
+    """Several rows of one month have no slope."""
+    rows = [("s", dt.date(2024, 1, 1), v) for v in (4, 6, 8)]
+    got = forecast(spark.createDataFrame(rows, SERIES), method="linear").collect()
+    assert [r["predicted_demand"] for r in got] == [6.0] * 6
+    assert all(r["demand_lower"] < 6 < r["demand_upper"] for r in got)
+
+
+@pytest.mark.parametrize("seed", range(25))
+def test_sparse_fit_meets_the_optimality_conditions(seed):
+    """Random Poisson series, as the old fixed number of rounds did not suffice for them."""
+    rng = np.random.default_rng(seed)
+    n = int(rng.integers(4, 120))
+    t, y = np.linspace(0, 1, n), rng.poisson(rng.uniform(1, 40), n).astype(float)
+    y /= max(1.0, y.max())
+    beta, knots, variance = fit_trend(t, y)
+    design = np.column_stack([t, np.ones(n), np.maximum(t[:, None] - knots[None, :], 0.0)])
+    penalty = np.r_[0, 0, np.full(len(knots), variance / 0.3)]
+    gram = design.T @ design + variance * np.diag(np.r_[0.04, 0.04, np.zeros(len(knots))])
+    best = sparse_fit(gram, design.T @ y, penalty)
+    pull = gram @ best - design.T @ y
+    on = best != 0
+    assert np.abs(pull + penalty * np.sign(best))[on].max() < 1e-6
+    assert (np.abs(pull) - penalty)[~on].max(initial=-1) < 1e-6
+    assert best == pytest.approx(beta, abs=1e-4)

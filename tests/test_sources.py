@@ -3,9 +3,8 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from skillscope.defaults import TEXT_LIMIT
 from skillscope.schemas import RAW_POSTING_COLUMNS, SURVEY_COLUMNS
-from skillscope.sources.generate import LANGUAGES, generate_postings, generate_survey
+from generate import LANGUAGES, generate_postings, generate_survey
 from skillscope.sources.postings import (
     explode_pages, flatten_postings, parse_postings, read_postings,
 )
@@ -56,16 +55,11 @@ def test_malformed_json_fails(spark, tmp_path):
         read_postings(spark, str(tmp_path)).collect()
 
 
-def test_texts_are_whole_unless_a_limit_is_asked_for(spark):
-    long = "x" * 2095 + " rust"
-    quoted = "'" * 1500 + "y"
-    lines = [json.dumps({"id": "l", "description": long}),
-             json.dumps({"id": "q", "description": quoted})]
-    parsed = parse_postings(spark.createDataFrame([(x,) for x in lines], "line string"), "line")
-    assert flat(parsed)["l"]["description"] == long
-    cut = {r["id"]: r["description"] for r in flatten_postings(parsed, TEXT_LIMIT).collect()}
-    assert cut["l"] == long[:TEXT_LIMIT]
-    assert cut["q"] == "'" * 1000, "an apostrophe takes two characters"
+def test_texts_are_whole(spark):
+    texts = {"l": "x" * 2095 + " rust", "q": "'" * 1500 + "y"}
+    lines = [(json.dumps({"id": k, "description": v}),) for k, v in texts.items()]
+    parsed = parse_postings(spark.createDataFrame(lines, "line string"), "line")
+    assert {k: r["description"] for k, r in flat(parsed).items()} == texts
 
 
 def test_page_envelopes(spark):
@@ -94,6 +88,27 @@ def test_scan_survey_csv(spark, tmp_path):
     assert rows["3"]["DevType"] == "null ", "only whole cells are missing-value tokens"
 
 
+@pytest.mark.parametrize("multi_line", [True, False])
+def test_survey_files_are_read_by_their_own_header(spark, tmp_path, multi_line):
+    (tmp_path / "a.csv").write_text("ResponseId,Country,ConvertedCompYearly\n1,France,50000\n2,,NA\n")
+    (tmp_path / "b.csv").write_text("ResponseId,ConvertedCompYearly,Country,New\n3,60000,Spain,x\n")
+    (tmp_path / "c.csv").write_text("ResponseId,Country,ConvertedCompYearly\n4,Italy,70000\n")
+    rows = {r["ResponseId"]: r for r in read_survey(spark, str(tmp_path), multi_line).collect()}
+    assert {k: (r["Country"], r["ConvertedCompYearly"], r["New"]) for k, r in rows.items()} == {
+        "1": ("France", "50000", None), "2": (None, None, None), "3": ("Spain", "60000", "x"),
+        "4": ("Italy", "70000", None),
+    }
+
+
+@pytest.mark.parametrize("row", ["3,Spain", "3,Spain,60000,y"])
+def test_a_row_with_other_cells_fails(spark, tmp_path, row):
+    (tmp_path / "a.csv").write_text(f"ResponseId,Country,ConvertedCompYearly\n1,France,50000\n{row}\n")
+    with pytest.raises(Exception):
+        require_columns(read_survey(spark, str(tmp_path), False)).select("ResponseId").collect()
+    kept = read_survey(spark, str(tmp_path), False, on_bad="DROPMALFORMED")
+    assert [r["ResponseId"] for r in kept.collect()] == ["1"]
+
+
 def test_required_columns(spark):
     df = spark.createDataFrame([("1", "x")], "ResponseId string, Extra string")
     kept = require_columns(df)
@@ -116,7 +131,7 @@ def test_generated_postings(spark):
     assert 1800 < stats[8] < 2200 and stats[9] == stats[10] == 12
     import hashlib
     wanted = hashlib.md5(b"2024-03-010").hexdigest()[:12]
-    assert df.filter(F.col("id") == wanted).first()["created"] == "2024-03-01T09:00:00Z"
+    assert df.filter(F.col("id") == wanted).first()["created"] == "2024-03-01T08:30:00Z"
     assert sorted(df.limit(50).collect()) == sorted(df.limit(50).collect())
 
 
