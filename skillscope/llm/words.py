@@ -127,16 +127,17 @@ def shingle_sets(texts: pa.Array, width: int) -> list[np.ndarray]:
 
     A text with fewer words gives its whole sequence as one; without words, nothing.
     """
-    batch = WordBatch(texts, fold_ascii=True)
-    hashes = batch.hashes()
-    grams = rolling(hashes, width)
     out = []
-    for first, count in zip(batch.first, batch.counts, strict=False):
-        if count >= width:
-            out.append(np.unique(grams[first:first + count - width + 1]))
-        elif count:
-            short = rolling(hashes[first:first + count], int(count)) ^ mixed(np.full(1, count, np.uint64))
-            out.append(short)
-        else:
-            out.append(np.empty(0, np.uint64))
+    for _, portion in portions(texts):
+        batch = WordBatch(portion, fold_ascii=True)
+        hashes = batch.hashes()
+        grams = rolling(hashes, width)
+        for first, count in zip(batch.first, batch.counts, strict=False):
+            if count >= width:
+                out.append(np.unique(grams[first:first + count - width + 1]))
+            elif count:
+                short = rolling(hashes[first:first + count], int(count)) ^ mixed(np.full(1, count, np.uint64))
+                out.append(short)
+            else:
+                out.append(np.empty(0, np.uint64))
     return out
