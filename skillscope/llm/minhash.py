@@ -41,8 +41,8 @@ PERMUTATIONS = 80
 ROWS = 5
 BANDS = 2 * PERMUTATIONS // ROWS
 SIGMAS = 5  # a signature may agree less than the least similarity by so many standard deviations
-BLOCK = 256
-SIGNATURE_BLOCK = 512
+BLOCK = 1024
+SIGNATURE_BLOCK = 1024
 HUBS = 4
 
 _SEEDS = mixed(np.arange(1, 2 * PERMUTATIONS + 1, dtype=np.uint64))
@@ -173,7 +173,7 @@ def _exact_links(width: int, percent: int, keys: list[str]):
     return link
 
 
-def _in_cells(rows: DataFrame, keys: list[str], n_rows: int, per_cell: int) -> DataFrame:
+def _in_cells(rows: DataFrame, keys: list[str], n_rows: int, per_cell: int):
     """Group whole blocks into cells of about ``per_cell`` rows, as most blocks hold a few rows only."""
     return rows.withColumn("cell", F.pmod(F.xxhash64(*keys), F.lit(max(1, n_rows // per_cell)))).groupBy("cell")
 
@@ -184,34 +184,29 @@ def _labelled(rows: DataFrame, labels: DataFrame, name: str = "label") -> DataFr
     return rows.join(found, "id", "left").withColumn(name, F.coalesce(F.col(name), F.col("id")))
 
 
-def _main_label(rows: DataFrame, group: list[str]) -> DataFrame:
-    """The largest part of each group; of equals the smallest label."""
-    sizes = rows.groupBy(*group, "label").agg(F.count(F.lit(1)).alias("n"))
-    return sizes.groupBy(*group).agg(
-        F.max(F.struct("n", (-F.col("label")).alias("l"))).alias("top"), F.count(F.lit(1)).alias("parts")
-    ).select(*group, (-F.col("top.l")).alias("main"), "parts")
-
-
 def _block_pairs(rows: DataFrame, group: list[str], block: int) -> DataFrame:
     """Rows of groups in several parts, set up as (probe block, member block) pairs.
 
-    Probes are the rows outside the group's largest part; every probe block meets every member block.
-    Blocks are drawn by hash, so no group is sorted by one task.
+    Probes are the rows outside the group's largest part (of equals, that with the smallest label);
+    every probe block meets every member block. Blocks are drawn by hash, so no group is sorted by
+    one task.
     """
-    main = _main_label(rows, group).where("parts > 1").drop("parts")
-    rows = rows.join(main, group)
-    rows = rows.withColumn("probe", F.col("label") != F.col("main")).drop("main")
+    sizes = rows.groupBy(*group, "label").agg(F.count(F.lit(1)).alias("n"))
+    top = sizes.groupBy(*group).agg(
+        F.max(F.struct("n", (-F.col("label")).alias("l"))).alias("top"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("parts")
+    ).where("parts > 1").select(
+        *group, (-F.col("top.l")).alias("main"), F.ceil(F.col("n") / block).alias("ms"),
+        F.ceil((F.col("n") - F.col("top.n")) / block).alias("ps"))
+    rows = rows.join(top, group)
+    draw = F.xxhash64(F.lit(7), "id")
+    member = F.pmod(draw, F.col("ms")), F.explode(F.sequence(F.lit(0), F.col("ps") - 1)), F.lit(False)
+    probe = F.explode(F.sequence(F.lit(0), F.col("ms") - 1)), F.pmod(draw, F.col("ps")), F.lit(True)
+    columns = [c for c in rows.columns if c not in ("main", "ms", "ps")]
 
-    def numbered(some: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
-        count = some.groupBy(*group).agg(F.ceil(F.count(F.lit(1)) / block).alias(f"{name}s"))
-        some = some.join(count, group).withColumn(name, F.pmod(F.xxhash64(F.lit(7), "id"), F.col(f"{name}s")))
-        return some.drop(f"{name}s"), count
+    def placed(some: DataFrame, m, p, is_probe) -> DataFrame:
+        return some.withColumn("m", m).withColumn("p", p).select(*columns, "m", "p", is_probe.alias("probe"))
 
-    members, n_members = numbered(rows.withColumn("probe", F.lit(False)), "m")
-    probes, n_probes = numbered(rows.where("probe"), "p")
-    members = members.join(n_probes, group).withColumn("p", F.explode(F.sequence(F.lit(0), F.col("ps") - 1))).drop("ps")
-    probes = probes.join(n_members, group).withColumn("m", F.explode(F.sequence(F.lit(0), F.col("ms") - 1))).drop("ms")
-    return members.unionByName(probes)
+    return placed(rows, *member).unionByName(placed(rows.where("label <> main"), *probe))
 
 
 def candidate_groups(scratch: Scratch, classes: DataFrame, percent: int) -> DataFrame:
@@ -232,7 +227,7 @@ def candidate_groups(scratch: Scratch, classes: DataFrame, percent: int) -> Data
     rows = _labelled(shared.select("bucket", "id"), groups)
     rows = scratch.keep(_block_pairs(rows, ["bucket"], SIGNATURE_BLOCK), "split-buckets")
     keys = ["bucket", "p", "m"]
-    cells = _in_cells(rows.join(classes.select("id", "signature"), "id"), keys, rows.count(), 8 * SIGNATURE_BLOCK)
+    cells = _in_cells(rows.join(classes.select("id", "signature"), "id"), keys, rows.count(), 4 * SIGNATURE_BLOCK)
     more = scratch.keep(cells.applyInPandas(_signature_links(least, keys), "a long, b long"), "more")
     if not more.limit(1).count():
         return groups

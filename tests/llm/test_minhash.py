@@ -56,8 +56,9 @@ def test_signature_is_unbiased():
     assert abs(np.mean(ratios) - 1 / 3) < 0.02
 
 
-@pytest.mark.parametrize("seed", range(2))
-def test_components(spark, seed):
+@pytest.mark.parametrize("seed, chunk", [(0, 200_000), (1, 7)])
+def test_components(spark, monkeypatch, seed, chunk):
+    monkeypatch.setattr("skillscope.llm.components.CHUNK", chunk)
     rng = random.Random(seed)
     edges = [(rng.randrange(60), rng.randrange(60)) for _ in range(45)] + [(i, i + 1) for i in range(100, 160)] + [(7, 7)]
     up = {}
