@@ -57,7 +57,7 @@ def _pairs(hashes: np.ndarray) -> np.ndarray:
     return mixed(hashes[:-1] * np.uint64(3) + mixed(hashes[1:]))
 
 
-def _answer_start(text: str, n_words: int) -> int:
+def _answer_start(text: str) -> int:
     """Characters before the answer: after a question mark or line break, else the last sentence."""
     body = text.rstrip()
     for mark in ("?", "\n", ". "):
@@ -116,7 +116,7 @@ def build_index(items: list[tuple[int, str]], min_share: float = MIN_SHARE) -> I
     questions, answers = [], []
     for i, sequence in zip(chosen, sequences, strict=True):
         text = items[i][1]
-        cut = _words(pa.array([text[:_answer_start(text, len(sequence))]], pa.large_string())).counts[0]
+        cut = _words(pa.array([text[:_answer_start(text)]], pa.large_string())).counts[0]
         cut = min(max(int(cut), 2), len(sequence) - 2)
         questions.append(np.unique(_pairs(sequence[:cut])))
         answers.append(np.unique(_pairs(sequence[cut:])))

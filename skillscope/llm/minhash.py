@@ -293,7 +293,8 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, min_percent: int =
     groups = candidate_groups(scratch, classes.select("id", "signature").dropDuplicates(["id"]), min_percent)
     members = groups.select("id", F.col("component").alias("group"))
     grouped = texts.join(members, texts["doc_id"] == members["id"]).select("id", "group", "text")
-    parts = confirmed_parts(scratch, grouped, shingle_words, min_percent)
+    parts = scratch.keep(confirmed_parts(scratch, grouped, shingle_words, min_percent), "parts")
+    scratch.drop_all_but("sketches", "classes", "parts")
     named = _labelled(classes.select(*same, "id"), parts, "component_id").drop("id")
     rows = sketches.drop("signature").join(named, same, "left")
     component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))

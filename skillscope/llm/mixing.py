@@ -132,6 +132,7 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_copies:
     rounded = scratch.keep(rated.groupBy("sid").applyInPandas(
         _round_cells(max_copies), "sid int, size long, n long, copies long"), "rounded")
 
+    scratch.drop_all_but("sizes", "sources", "rounded")
     named = sources.select("sid", F.col("source").alias("s"), "source_size", "target")
     rows = sizes.join(named, F.col("source").eqNullSafe(F.col("s"))).drop("s")
     rows = rows.join(rounded, ["sid", "size"], "left").fillna(0, ["n", "copies"])

@@ -164,6 +164,7 @@ def discovered_values(scratch: Scratch, found: DataFrame, min_confidence: float
         new = fresh.limit(1).count()
         known = scratch.keep(known.unionByName(fresh), f"known-{step}")
         scratch.drop(f"known-{step - 1}", f"fresh-{step}")
+    scratch.drop("graph")
     return known.where("round > 0").select("value")
 
 

@@ -13,7 +13,7 @@ class Scratch:
     """A folder of Parquet tables for one operator run.
 
     ``keep`` writes a table once and reads it back, so that what builds on it survives lost
-    executors and is not computed again. ``drop`` deletes a table that no returned DataFrame reads.
+    executors and is not computed again. ``drop`` and ``drop_all_but`` delete tables that no returned DataFrame reads.
     """
 
     def __init__(self, spark: SparkSession, label: str) -> None:
@@ -27,7 +27,15 @@ class Scratch:
         df.write.parquet(self.path(name))
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
+    def _files(self):
+        path = self.spark._jvm.org.apache.hadoop.fs.Path
+        return path, path(self.root).getFileSystem(self.spark._jsc.hadoopConfiguration())
+
     def drop(self, *names: str) -> None:
+        path, files = self._files()
         for name in names:
-            path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(name))
-            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+            files.delete(path(self.path(name)), True)
+
+    def drop_all_but(self, *names: str) -> None:
+        path, files = self._files()
+        self.drop(*({f.getPath().getName() for f in files.listStatus(path(self.root))} - {*names}))
