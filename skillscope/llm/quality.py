@@ -238,8 +238,9 @@ def fit_quality(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABE
 
 
 def score(docs: DataFrame, model: QualityModel, column: str = "score") -> DataFrame:
-    """``docs`` with the probability of good quality in ``column``."""
+    """``docs`` with the probability of good quality in ``column``, which replaces one of that name."""
     ship()
+    docs = docs.drop(column)
     at = docs.columns.index("text")
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

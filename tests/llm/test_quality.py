@@ -62,6 +62,8 @@ def test_one_label_or_none(spark, tables):
     for some, value in ((labels.limit(0), 0.5), (labels.where("quality = 1"), 0.99)):
         got = {round(r["score"], 6) for r in score(docs, fit_quality(docs, some)).collect()}
         assert got == {value}
+    clash = docs.limit(3).withColumn("score", F.lit("old"))
+    assert dict(score(clash, fit_quality(docs, labels.limit(0))).dtypes)["score"] == "double"
     model = fit_quality(docs.limit(0), labels)
     assert score(docs.limit(0), model).count() == 0
 
