@@ -39,7 +39,7 @@ from skillscope.llm.words import WordBatch, portions, rolling
 WINDOW = 50
 PERIOD = 31
 COVER = (1, 5, 11, 24, 25, 27)  # every remainder modulo 31 is the difference of two of these
-SLICE_BYTES = 64 << 20  # text bytes for each slice of the hash range
+SLICE_BYTES = 24 << 20  # text bytes for each slice of the hash range
 
 _PACKED = "slice int, done boolean, first binary, second binary, doc binary, place binary"
 _PLACES = "doc_id long, place int"
