@@ -60,7 +60,7 @@ def rolling(values: np.ndarray, width: int, which: int = 0) -> np.ndarray:
     return mixed((prefix[width:] - prefix[:-width]) * powers(pow(base, -1, 1 << 64), n))
 
 
-def portions(texts: pa.Array, most_bytes: int = 1 << 20) -> Iterator[tuple[int, pa.Array]]:
+def portions(texts: pa.Array, most_bytes: int = 1 << 19) -> Iterator[tuple[int, pa.Array]]:
     """Consecutive pieces of a batch with about ``most_bytes`` of text each, and where they start.
 
     Bounds what the vectorised helpers hold at a time; a single longer text is a piece of its own.
