@@ -4,9 +4,11 @@ Markup is stripped into lines, one per block element, in page order. Lines of me
 sidebars, notices, adverts, forms and reader comments weigh nothing; any other line weighs its
 characters outside links, and, where the page names its content element (``article``, ``main``), only
 lines inside it weigh anything. (A page whose windows all stay below the threshold takes its highest
-window for it, so that a short text is not lost.) Sums over sliding windows of ``WINDOW`` lines then show where text
+window for it, and inside a content element any weight, so that a short text is not lost; a content element
+of links alone counts them as text.) Sums over sliding windows of ``WINDOW`` lines then show where text
 surges (a line with weight whose window reaches the threshold) and where it dives (a window without
-weight); the unexcluded lines between the two are the text. Character references are decoded, white
+weight); the unexcluded lines between the two are the text. Inside a content element the text reaches back
+from the surge to the first line with weight since the last dive, so that no heading is lost. Character references are decoded, white
 space inside a line becomes one blank, and lines are joined by a line break.
 
 Defined results: a null, empty or text-free page gives an empty string of 0 characters. Markup that
@@ -27,7 +29,7 @@ from pyspark.sql import DataFrame
 from skillscope.llm.shipping import ship
 
 WINDOW = 3
-MIN_SURGE = 60  # characters in a window, for pages that name no content element
+MIN_SURGE = 60  # characters in a window
 
 # Element names of HTML by what they mean here.
 RAW = "script|style|noscript|template|svg|math|iframe|object|canvas|audio|video|head|title|textarea|select|button"
@@ -142,19 +144,24 @@ def main_text(page: str | None, window: int = WINDOW, min_surge: int = MIN_SURGE
     """The lines between surges and dives of one page."""
     lines = page_lines(page or "")
     named = any(content and not noise for _, _, content, noise in lines)
-    weights = [0 if noise or (named and not content) else len(text) if named else weight
-               for text, weight, content, noise in lines]
     usable = [not noise and (content or not named) for _, _, content, noise in lines]
+    weights = [weight if use else 0 for (_, weight, _, _), use in zip(lines, usable, strict=True)]
+    if named and not any(weights):
+        weights = [len(line[0]) if use else 0 for line, use in zip(lines, usable, strict=True)]
     sums = [sum(weights[i:i + window]) for i in range(len(weights))]
-    least = 1 if named else min(min_surge, max(sums, default=1))
-    kept, inside = [], False
+    highest = max(sums, default=1)
+    least = min_surge if highest >= min_surge else 1 if named else highest
+    kept, lead, inside = [], [], False
     for line, weight, total, use in zip(lines, weights, sums, usable, strict=True):
-        if not inside and weight and total >= least:
-            inside = True
-        elif inside and not total:
-            inside = False
+        if not total:
+            lead, inside = [], False
+        elif not inside and weight and total >= least:
+            kept.extend(lead)
+            lead, inside = [], True
         if inside and use:
             kept.append(line[0])
+        elif named and use and (weight or lead):
+            lead.append(line[0])
     return "\n".join(kept)
 
 

@@ -1,3 +1,5 @@
+import random
+
 import pytest
 
 from skillscope.llm.html_text import extract_pages, main_text
@@ -32,3 +34,38 @@ def test_rows(spark):
     got = sorted(map(tuple, extract_pages(made).collect()), key=str)
     assert got == sorted([(1, "u", "é " * 9 + "x", 19), (None, None, "", 0), (1, "u", "b", 1), (1, "u", "b", 1)], key=str)
     assert extract_pages(made.limit(0)).count() == 0
+
+
+def line_blocks(weights, named, window=3, least=60):
+    """Numbers of the lines from each surge up to its dive, looked for from every line anew."""
+    def total(i):
+        return sum(w for k, w in enumerate(weights) if i <= k < i + window)
+    kept, i = [], 0
+    while i < len(weights):
+        dive = next((k for k in range(i + 1, len(weights)) if total(k) == 0), len(weights))
+        surges = [k for k in range(i, dive) if weights[k] and total(k) >= least]
+        if weights[i] and surges:
+            kept += range(i if named else surges[0], dive)
+        i = dive if weights[i] else i + 1
+    return kept
+
+
+@pytest.mark.parametrize("wrap", ["<article>{}</article>", "<main>{}</main>", "<div>{}</div>"])
+def test_line_blocks_by_brute_force(wrap):
+    rng, cut = random.Random(7), 0
+    for _ in range(300):
+        texts = [(rng.choice(["p", "a", "a", "a"]), "x" * rng.choice([3, 10, 25, 70])) for _ in range(rng.randint(4, 25))]
+        texts.insert(rng.randrange(len(texts)), ("p", "y" * 60))
+        page = wrap.format("".join(f"<p>{t}</p>" if tag == "p" else f"<p><a href=x>{t}</a></p>" for tag, t in texts))
+        kept = line_blocks([len(t) if tag == "p" else 0 for tag, t in texts], "div" not in wrap)
+        assert main_text(page) == "\n".join(texts[i][1] for i in kept)
+        cut += len(kept) < len(texts)
+    assert cut > 200
+
+
+def test_links_inside_the_content_element_are_cut():
+    more = "".join(f"<li><a href=/{i}>Another story {i}</a></li>" for i in range(5))
+    assert main_text(f"<article><h1>T</h1><p>{LONG}</p><ul>{more}</ul><p>{LONG}</p><ul>{more}</ul></article>") == f"T\n{LONG}\n{LONG}"
+    assert main_text(f"<article><h1>T</h1><p>By X</p><p>May</p><p>{LONG}</p><ul>{more}</ul><p>short</p></article>") == f"T\nBy X\nMay\n{LONG}"
+    assert main_text("<article><p>a</p><p>bb</p><p>c</p><p>ddd</p></article>") == "a\nbb\nc\nddd"
+    assert main_text("<article><p><a href=x>only a link</a></p></article>") == "only a link"
