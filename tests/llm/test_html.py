@@ -69,3 +69,29 @@ def test_links_inside_the_content_element_are_cut():
     assert main_text(f"<article><h1>T</h1><p>By X</p><p>May</p><p>{LONG}</p><ul>{more}</ul><p>short</p></article>") == f"T\nBy X\nMay\n{LONG}"
     assert main_text("<article><p>a</p><p>bb</p><p>c</p><p>ddd</p></article>") == "a\nbb\nc\nddd"
     assert main_text("<article><p><a href=x>only a link</a></p></article>") == "only a link"
+
+
+@pytest.mark.parametrize("page, text", [
+    # Only an attribute named hidden hides.
+    (f"<article style='overflow:hidden'><p>{LONG}</p></article>", LONG),
+    (f"<div title='Hidden costs'><article><p>{LONG}</p></article></div>", LONG),
+    (f"<div title='a class=ad b'><p>{LONG}</p></div>", LONG),
+    (f"<article><p hidden>secret</p><p HIDDEN=until-found>secret</p><p>{LONG}</p></article>", LONG),
+    # A name does not exclude what holds the content.
+    *[(f"<nav>n</nav><div class='{c}'><div id='sidebar'>{LONG} no</div><article class='x-share'><p>{LONG}</p>"
+       f"<div class=comments>{LONG} no</div></article></div>", LONG)
+      for c in ("content has-sidebar", "with-header", "post-share-enabled")],
+    (f"<div class='content has-sidebar'><p>{LONG}</p><p>b</p><div class=ad>no</div></div>", f"{LONG}\nb"),
+    (f"<form id=page><article><p>{LONG}</p><form>no</form></article></form>", LONG),
+    (f"<article><p>{LONG}</p></article><div class=related><article><p>{LONG} no</p></article></div>", LONG),
+    # The head ends where the body starts.
+    (f"<html><head><title>t</title><meta charset=x><body><p>{LONG}</p>", LONG),
+    (f"<head id=header class=hidden><title>t</title><link href=x><article><p>{LONG}</p></article>", LONG),
+    (f"<head><title>t</title><style>p</style></head><p>{LONG}</p>", LONG),
+    # Self-closing tags end at once, also after quoted marks.
+    *[(f"<article><p>a</p>{tag}<p>{LONG}</p></article>", f"a\n{LONG}")
+      for tag in ("<svg width='1' />", "<svg/>", "<iframe src='x'/>", "<textarea/>", "<svg aria-label='a>b'/>", "<iframe allowfullscreen/>")],
+    (f"<article><script src=/a/>no</script><iframe src=http://x/>no</iframe><p>{LONG}</p></article>", LONG),
+])
+def test_ordinary_markup_loses_no_article(page, text):
+    assert main_text(page) == text
