@@ -10,8 +10,10 @@ still reach a block's lowest threshold is scored in full; here for all passages
 loses a result. A retrieved item counts as leaked when the passage also holds enough of the word pairs of
 its question and of its answer.
 
-Bounds: an index part has at most ``PART_ITEMS`` items and ``PART_BYTES`` of text and is checked against
-both before it goes to the tasks; larger benchmarks take several parts, each a pass over the documents.
+Bounds: an index part is filled up to ``PART_ITEMS`` items and ``PART_BYTES`` of text (an item beyond that is a part
+of its own); larger benchmarks take several parts, each a pass over the documents. The number of items, their mean
+and longest length, and the number of items with a term are those of the whole benchmark in every part, so
+results do not depend on the parts.
 
 Defined results: null or empty documents and items match nothing. Items under ``MIN_WORDS`` words cannot
 be told from chance and are left out. Repeated documents repeat their rows, repeated items are reported under
@@ -21,7 +23,7 @@ without punctuation. ``drop_leaked`` keeps all columns.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -30,6 +32,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from skillscope.llm.scratch import Scratch
 from skillscope.llm.shipping import ship
 from skillscope.llm.words import WordBatch, mixed, portions
 
@@ -88,8 +91,19 @@ class Index:
     reach: int
 
 
-def build_index(items: list[tuple[int, str]], min_share: float = MIN_SHARE) -> Index | None:
-    """The index of (id, text) items; None when no item is long enough."""
+@dataclass
+class Totals:
+    """Figures of the whole benchmark, of its items that are long enough; ``with_terms`` gives the number of items
+    that hold each of the given terms."""
+
+    n_items: int
+    n_words: int
+    longest: int
+    with_terms: Callable[[np.ndarray], np.ndarray]
+
+
+def build_index(items: list[tuple[int, str]], min_share: float = MIN_SHARE, totals: Totals | None = None) -> Index | None:
+    """The index of (id, text) items, all of the benchmark or a part of it; None when no item is long enough."""
     texts = pa.array([t for _, t in items], pa.large_string())
     words = _words(texts)
     hashes = words.hashes()
@@ -102,9 +116,10 @@ def build_index(items: list[tuple[int, str]], min_share: float = MIN_SHARE) -> I
     terms, term = np.unique(np.concatenate(sequences), return_inverse=True)
     cell, tf = np.unique(term * len(chosen) + item, return_counts=True)
     term, item = cell // len(chosen), cell % len(chosen)
-    df = np.bincount(term, minlength=len(terms))
-    idf = np.log1p((len(chosen) - df + 0.5) / (df + 0.5))
-    impact = idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * lengths[item] / lengths.mean()))
+    totals = totals or Totals(len(chosen), int(lengths.sum()), int(lengths.max()), lambda _: np.bincount(term, minlength=len(terms)))
+    df = totals.with_terms(terms)
+    idf = np.log1p((totals.n_items - df + 0.5) / (df + 0.5))
+    impact = idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * lengths[item] * totals.n_items / totals.n_words))
     self_score = np.bincount(item, impact, len(chosen))
     needed = min_share * self_score
     n_blocks = -(-len(chosen) // ITEMS_PER_BLOCK)
@@ -124,7 +139,7 @@ def build_index(items: list[tuple[int, str]], min_share: float = MIN_SHARE) -> I
         terms, best, np.searchsorted(cells // n_blocks, np.arange(len(terms) + 1)), cells % n_blocks, block_best,
         np.searchsorted(term, np.arange(len(terms) + 1)), item, impact, np.array([items[i][0] for i in chosen], np.int64),
         needed, np.minimum.reduceat(needed, np.arange(0, len(chosen), ITEMS_PER_BLOCK)), self_score, questions, answers,
-        int(lengths.max()))
+        totals.longest)
 
 
 def _spread(starts: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -194,17 +209,64 @@ def search(index: Index, texts: pa.Array, min_overlap: float = MIN_OVERLAP) -> l
             for (r, i), (s, q, a, n) in sorted(out.items())]
 
 
+def _item_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each distinct term of an item, the first of them with the item's number of words."""
+    for batch in batches:
+        words = _words(batch.column(0))
+        hashes = words.hashes()
+        for i in np.flatnonzero(words.counts >= MIN_WORDS):
+            terms = np.unique(hashes[words.first[i]:words.first[i + 1]])
+            counts = np.zeros(len(terms), np.int64)
+            counts[0] = words.counts[i]
+            yield pa.RecordBatch.from_arrays([pa.array(terms.view(np.int64)), pa.array(counts)], ["term", "n_words"])
+
+
+def _totals(items: DataFrame, scratch: Scratch) -> Totals:
+    ship()
+    terms = items.select("text").mapInArrow(_item_terms, "term long, n_words long").groupBy("term").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("n_words").alias("words"), F.max("n_words").alias("longest"),
+        F.count_if(F.col("n_words") > 0).alias("firsts"))
+    terms = scratch.keep(terms, "terms")
+    whole = terms.agg(F.sum("firsts").alias("n"), F.sum("words").alias("words"), F.max("longest").alias("longest")).first()
+
+    def with_terms(wanted: np.ndarray) -> np.ndarray:
+        asked = items.sparkSession.createDataFrame(pa.table({"term": pa.array(wanted.view(np.int64))}))
+        found = terms.join(asked, "term").select("term", "n").toArrow()
+        known = found["term"].to_numpy().view(np.uint64)
+        order = np.argsort(known)
+        return found["n"].to_numpy()[order][np.searchsorted(known[order], wanted)]
+
+    return Totals(whole["n"] or 0, whole["words"] or 0, whole["longest"] or 0, with_terms)
+
+
+def _parts(rows: Iterator[tuple[int, str]]) -> Iterator[list[tuple[int, str]]]:
+    part, size = [], 0
+    for row in rows:
+        own = len(row[1].encode())
+        if part and (len(part) == PART_ITEMS or size + own > PART_BYTES):
+            yield part
+            part, size = [], 0
+        part.append(row)
+        size += own
+    yield part
+
+
 def index_parts(benchmark: DataFrame, min_share: float = MIN_SHARE) -> Iterator[Index]:
     """Indexes of bounded size that hold all items between them."""
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
     items = items.where("text IS NOT NULL")
     size = items.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("b")).first()
-    parts = max(1, -(-2 * size["n"] // PART_ITEMS), -(-2 * size["b"] // PART_BYTES))
-    for part in range(parts):
-        # Twice as many parts as the bounds ask for, so that hashing keeps each within them.
-        some = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == part) if parts > 1 else items
-        if index := build_index([tuple(r) for r in some.orderBy("item_id", "text").collect()], min_share):
+    rows = items.orderBy("item_id", "text")
+    if size["n"] <= PART_ITEMS and size["b"] <= PART_BYTES:
+        if index := build_index([tuple(r) for r in rows.collect()], min_share):
+            yield index
+        return
+    scratch = Scratch(benchmark.sparkSession, "benchmark")
+    totals = _totals(items, scratch)
+    for part in _parts(tuple(r) for r in rows.toLocalIterator()):
+        if index := build_index(part, min_share, totals):
             yield index
+    scratch.drop("terms")
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, min_share: float = MIN_SHARE, min_overlap: float = MIN_OVERLAP) -> DataFrame:

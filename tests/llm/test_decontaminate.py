@@ -65,3 +65,42 @@ def test_nothing_to_find(spark):
     short = spark.createDataFrame([(1, "ka ra"), (2, None), (None, "")], "item_id long, text string")
     assert d.find_leaks(docs, short).count() == 0
     assert d.find_leaks(docs.limit(0), bench).count() == 0
+
+
+def partial_copies():
+    """Items of common and rare words, one of them long and some equal, and documents with part of their words."""
+    rng = random.Random(5)
+    words = [f"w{int(1.01 ** rng.randint(0, 600))}" for _ in range(5000)]
+    def some(n):
+        return " ".join(rng.choices(words, k=n))
+    items = [(i, some(rng.randint(10, 30)) + ". " + some(8)) for i in range(40)]
+    items += [items[3]] * 9 + [(900, items[3][1]), (901, some(70)), (902, "w1 w2")]
+    rows = []
+    for i, item in items[:40]:
+        for k in (3, 5, 8):
+            changed = [rng.choice(words) if n % k == i % k else w for n, w in enumerate(item.split())]
+            rows.append((len(rows), some(90) + " " + " ".join(changed) + " " + some(120)))
+    return items, rows
+
+
+@pytest.mark.parametrize("part_items, part_bytes", [(20, d.PART_BYTES), (7, d.PART_BYTES), (d.PART_ITEMS, 1500), (1, 1)])
+def test_parts_do_not_change_results(spark, monkeypatch, part_items, part_bytes):
+    items, rows = partial_copies()
+    docs, bench = found(spark, rows, items)
+    def leaks():
+        return sorted(map(tuple, d.find_leaks(docs, bench, 0.75, 0.4).collect()))
+    whole, kept = leaks(), sorted(r["doc_id"] for r in d.drop_leaked(docs, bench, 0.75, 0.4).collect())
+    assert len({r[0] for r in whole}) > 20 and 0 < len(kept) < 120 and any(r[3] < 0.8 for r in whole)
+    sizes, build = [], d.build_index
+
+    def recorded(part, *rest):
+        sizes.append((len(part), sum(len(t.encode()) for _, t in part)))
+        return build(part, *rest)
+
+    monkeypatch.setattr(d, "build_index", recorded)
+    monkeypatch.setattr(d, "PART_ITEMS", part_items)
+    monkeypatch.setattr(d, "PART_BYTES", part_bytes)
+    assert leaks() == whole
+    assert len(sizes) > 1 and all(n <= part_items and (n == 1 or b <= part_bytes) for n, b in sizes)
+    if part_items > 1:
+        assert sorted(r["doc_id"] for r in d.drop_leaked(docs, bench, 0.75, 0.4).collect()) == kept
