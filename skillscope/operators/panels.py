@@ -27,7 +27,8 @@ def panel_terms(
 # The steps that an automatic date histogram may take, from fine to coarse.
 SECOND_STEPS = (1, 5, 10, 30, 60, 300, 600, 1800, 3600, 10800, 43200)
 DAY_STEPS = (1, 7)
-MONTH_STEPS = (1, 3, 12, 60, 120, 240, 600, 1200)
+# From a century on steps double, up to one that holds every date.
+MONTH_STEPS = (1, 3, 12, 60, 120, 240, 600, *(1200 << k for k in range(8)))
 
 
 def _steps(c: Column, timed: bool) -> list[tuple[Column, int, Column]]:
@@ -47,7 +48,10 @@ def _steps(c: Column, timed: bool) -> list[tuple[Column, int, Column]]:
         out.append((days, step, start))
     for step in MONTH_STEPS:
         first = (F.floor(months / step) * step).cast("int")
-        out.append((months, step, F.make_date(F.floor(first / 12).cast("int"), first % 12 + 1, F.lit(1))))
+        start = F.make_date(F.floor(first / 12).cast("int"), F.pmod(first, F.lit(12)) + 1, F.lit(1))
+        # A bucket that reaches back before the year 1 starts with it.
+        start = F.when((first < 12) & (first + step > 12), F.lit("0001-01-01").cast("date")).otherwise(start)
+        out.append((months, step, start))
     kind = "timestamp_ntz" if timed else "date"
     return [(number, step, start.cast(kind)) for number, step, start in out]
 
@@ -58,10 +62,10 @@ def date_bucket(
     """Start of the bucket of ``moment``, by the finest step that takes at most ``target`` buckets
     from ``first`` to ``last``; steps below a day need ``timed`` values."""
     ends = zip(_steps(first, timed), _steps(last, timed), _steps(moment, timed), strict=True)
-    chosen = F.lit(None)
+    chosen = None
     for (low, step, _), (high, _, _), (_, _, start) in reversed(list(ends)):
         fits = F.floor(high / step) - F.floor(low / step) < target
-        chosen = F.when(fits, start).otherwise(chosen)
+        chosen = start if chosen is None else F.when(fits, start).otherwise(chosen)
     return chosen
 
 

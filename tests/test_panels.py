@@ -1,6 +1,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from skillscope.operators.panels import panel_histogram, panel_terms
 
@@ -67,3 +68,13 @@ def test_largest_terms_inside_each_bucket(spark):
     got = {b: {r["skill"] for r in out if r["bucket"] == b} for b in (jan, feb)}
     assert got == {jan: {f"s{i}" for i in range(2, 10)}, feb: {f"s{i}" for i in range(8)}}
     assert max(r["sum"] for r in out) == 14
+
+
+@pytest.mark.parametrize("kind, target", [("date", 50), ("timestamp_ntz", 1)])
+def test_every_date_has_a_bucket(spark, kind, target):
+    days = [dt.date(1, 1, 1), *(dt.date(y, 5, 1) for y in range(4, 9999, 45)), dt.date(2024, 1, 1), dt.date(9999, 12, 31)]
+    df = spark.createDataFrame([(d, "a", 1) for d in days], "d date, skill string, v int").withColumn("d", F.col("d").cast(kind))
+    rows = panel_histogram(df, "d", "skill", "v", "sum", target=target).collect()
+    starts = sorted((r["bucket"].year, r["bucket"].month, r["bucket"].day) for r in rows)
+    assert starts == [(max(1, 200 * i), 1, 1) for i in range(50)] if target == 50 else starts == [(1, 1, 1)]
+    assert sum(r["sum"] for r in rows) == len(days)
