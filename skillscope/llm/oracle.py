@@ -110,7 +110,76 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
        NOT base_failed AND share <= 0.5 AS kept, n_lines_removed, CAST(share AS DOUBLE) AS lost_share
 FROM d"""
 
+# CRC-32 of a list of bytes, by its table of 256 remainders, which is made first.
+_CRC_TABLE = (
+    "(SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) "
+    "ELSE c >> 1 END) ORDER BY i) FROM range(256) t(i))")
+
+
+def _crc(data: str, table: str) -> str:
+    steps = f"list_reduce(list_concat([4294967295], {data}), lambda c, b: xor(c >> 8, {table}[1 + (xor(c, b) & 255)]))"
+    return f"xor({steps}, 4294967295)"
+
+
+# All letters here are below U+0100, hence one or two bytes.
+_BYTES = ("flatten(list_transform(string_split({0}, ''), lambda c: CASE WHEN unicode(c) < 128 THEN [CAST(unicode(c) AS BIGINT)] "
+          "ELSE [195::BIGINT, CAST(unicode(c) - 64 AS BIGINT)] END))")
+
+OP11 = rf"""
+WITH RECURSIVE k AS MATERIALIZED (SELECT {_CRC_TABLE} AS crc),
+o AS (SELECT doc_id, unnest(regexp_extract_all({FOLDED}, '[a-z\x{{C0}}-\x{{FF}}]+')) AS run FROM documents),
+d AS (SELECT doc_id, run, count(*) AS n FROM o GROUP BY ALL),
+h AS MATERIALIZED (
+  SELECT run, n, {_crc(_BYTES.format("concat(coalesce(CAST(doc_id AS VARCHAR), ''), ':', run)"), "crc")} AS h FROM d, k),
+e AS (SELECT CASE WHEN h % 97 = 0 THEN substring(run, 1, CAST(h % length(run) AS BIGINT)) || substring(run, CAST(h % length(run) AS BIGINT) + 2)
+             ELSE run END AS word, n FROM h),
+w AS MATERIALIZED (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM e WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+g AS (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM w),
+x AS MATERIALIZED (SELECT word, n, i, substring(word, 1, i - 1) || substring(word, i + 1) AS rest FROM g),
+p AS (
+  SELECT a.word AS word, b.word AS near FROM x a JOIN x b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION SELECT x.word, w.word FROM x JOIN w ON w.word = x.rest
+  UNION SELECT w.word, x.word FROM x JOIN w ON w.word = x.rest),
+r AS (SELECT p.word, p.near, w.n AS near_n, row_number() OVER (PARTITION BY p.word ORDER BY w.n DESC, p.near) AS place,
+             count(*) OVER (PARTITION BY p.word) AS n_near
+      FROM p JOIN w ON w.word = p.near),
+f AS MATERIALIZED (
+  SELECT w.word, w.n, coalesce(r.n_near, 0) AS n_near, CASE WHEN near_n >= 2 * w.n THEN near END AS form,
+         CASE WHEN near_n >= 2 * w.n THEN near_n END AS form_n
+  FROM w LEFT JOIN r ON r.word = w.word AND place = 1),
+t AS (SELECT word, word AS root, form AS next FROM f
+      UNION ALL SELECT t.word, t.next, f.form FROM t JOIN f ON f.word = t.next)
+SELECT f.word, form, t.root, n, n_near, form_n FROM f JOIN t ON t.word = f.word AND t.next IS NULL"""
+
+OP12 = rf"""
+WITH k AS MATERIALIZED (SELECT {_CRC_TABLE} AS crc),
+s AS (SELECT conv_id, turn, md5(concat(octet_length(encode(coalesce(role, ''))), ':', coalesce(role, ''), coalesce(text, ''))) AS id,
+             len({WORDS}) AS words FROM conversations WHERE conv_id IS NOT NULL),
+o AS (SELECT conv_id, id, words, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, id) AS place FROM s),
+c AS MATERIALIZED (
+  SELECT conv_id, own, {_crc(_BYTES.format("CAST(conv_id AS VARCHAR)"), "crc")} % 4 AS h
+  FROM (SELECT conv_id, count(*) AS own FROM o GROUP BY conv_id), k),
+g AS (
+  SELECT c.conv_id, o.place, o.id, o.words FROM c JOIN o ON o.conv_id = c.conv_id - c.conv_id % 20 AND o.place <= c.h
+  UNION ALL SELECT c.conv_id, c.h + o.place, o.id, o.words FROM c JOIN o ON o.conv_id = c.conv_id AND o.place > c.h),
+t AS (SELECT conv_id, id, words, row_number() OVER (PARTITION BY conv_id ORDER BY place) AS depth FROM g),
+p AS MATERIALIZED (
+  SELECT conv_id, depth, words, md5(string_agg(id, '') OVER (PARTITION BY conv_id ORDER BY depth)) AS key,
+         coalesce(md5(string_agg(id, '') OVER (PARTITION BY conv_id ORDER BY depth ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)), 'root') AS parent
+  FROM t UNION ALL SELECT conv_id, 0, 0, 'root', NULL FROM c),
+n AS MATERIALIZED (
+  SELECT key, parent, depth, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * max(words) AS saved FROM p GROUP BY ALL),
+l AS (SELECT conv_id, max(depth) AS depth FROM p GROUP BY conv_id),
+e AS (SELECT p.key, string_agg(CAST(p.conv_id AS VARCHAR), ',' ORDER BY p.conv_id) AS ids FROM p JOIN l USING (conv_id, depth) GROUP BY p.key),
+ch AS (SELECT parent AS key, count(*) AS n_children FROM n GROUP BY parent),
+below AS (
+  SELECT p.key, sum(n.saved) AS saved, count(*) FILTER (ch.key IS NULL) AS n_leaves
+  FROM n JOIN p ON p.conv_id = n.conv_id AND p.depth <= n.depth LEFT JOIN ch ON ch.key = n.key GROUP BY p.key)
+SELECT n.conv_id, CAST(n.depth AS BIGINT) AS depth, u.conv_id AS parent_conv_id, n.n_convs, coalesce(ch.n_children, 0) AS n_children, below.n_leaves,
+       CAST(below.saved AS BIGINT) AS saved_tokens, sha256(coalesce(e.ids, '')) AS ends_sha256
+FROM n JOIN below USING (key) LEFT JOIN ch USING (key) LEFT JOIN e USING (key) LEFT JOIN n u ON u.key = n.parent"""
+
 ORACLE: dict[str, str] = {
     "op1_warc_archive": OP1, "op2_chat_format": OP2, "op3_near_duplicates": OP3, "op4_repeated_passages": OP4,
-    "op10_quality_rules": OP10,
+    "op10_quality_rules": OP10, "op11_spelling_variants": OP11, "op12_prefix_trie": OP12,
 }

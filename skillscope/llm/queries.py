@@ -12,10 +12,13 @@ from skillscope.llm.decontaminate import find_leaks
 from skillscope.llm.html_text import extract_pages
 from skillscope.llm.minhash import near_duplicates
 from skillscope.llm.mixing import mix_sources
+from skillscope.llm.packing import pack_documents
 from skillscope.llm.pii import find_personal_data, span_digests
 from skillscope.llm.quality import fit_quality, held_out, score
 from skillscope.llm.rules import quality_rules
+from skillscope.llm.spelling import spelling_variants, word_counts
 from skillscope.llm.substring import passage_digests
+from skillscope.llm.trie import conversation_trie
 from skillscope.llm.warc import archived
 
 
@@ -28,6 +31,7 @@ def op1_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url")
 
 
+VOCABULARY = "byte_bpe_50k.json"
 CONTROL_TEXT = "\\### Assistant: </turn> ok"  # a text that holds the template's own control strings
 
 
@@ -74,6 +78,20 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(_table(spark, sf_dir, "documents")).drop("cleaned")
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(word_counts(_table(spark, sf_dir, "documents"), misspell_every=97))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie(_table(spark, sf_dir, "conversations"))
+
+
+def op13_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return pack_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY), with_ids=False)
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc_archive": op1_warc_archive,
     "op2_chat_format": op2_chat_format,
@@ -85,4 +103,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mix_sources": op8_mix_sources,
     "op9_personal_data": op9_personal_data,
     "op10_quality_rules": op10_quality_rules,
+    "op11_spelling_variants": op11_spelling_variants,
+    "op12_prefix_trie": op12_prefix_trie,
+    "op13_best_fit_packing": op13_best_fit_packing,
 }

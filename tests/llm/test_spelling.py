@@ -1,0 +1,89 @@
+import random
+import re
+import zlib
+from collections import Counter
+
+import pytest
+
+from skillscope.llm.spelling import LONG, spelling_variants, word_counts
+
+ALPHABET = [chr(c) for c in (*range(97, 123), *range(0xC0, 0x100))]
+
+
+def near(word, vocabulary):
+    found = set()
+    for i in range(len(word) + 1):
+        found.add(word[:i] + word[i + 1:])
+        for c in ALPHABET:
+            found.update((word[:i] + c + word[i + 1:], word[:i] + c + word[i:]))
+    return (found & vocabulary) - {word}
+
+
+def variants(counts):
+    close = {w: near(w, set(counts)) for w in counts}
+    form = {}
+    for w, others in close.items():
+        best = min(others, key=lambda x: (-counts[x], x), default=None)
+        if best and counts[best] >= 2 * counts[w]:
+            form[w] = best
+
+    def root(w):
+        while w in form:
+            w = form[w]
+        return w
+
+    return {(w, form.get(w), root(w), n, len(close[w]), counts.get(form.get(w))) for w, n in counts.items()}
+
+
+def counted(rows, every):
+    counts = Counter()
+    for doc_id, text in rows:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = re.sub("[A-Z]", lambda m: m[0].lower(), run)
+            h = zlib.crc32(f"{'' if doc_id is None else doc_id}:{run}".encode())
+            if every and h % every == 0:
+                run = run[:h % len(run)] + run[h % len(run) + 1:]
+            if len(run) >= 5:
+                counts[run] += 1
+    return {w: n for w, n in counts.items() if n >= 3}
+
+
+@pytest.mark.parametrize("seed", [0, 1, 2])
+def test_against_brute_force(spark, seed):
+    rng = random.Random(seed)
+    # A tiny alphabet makes runs of one letter, shared rotations and ties likely.
+    words = ["".join(rng.choice("ab" if seed else "aéÿ×") for _ in range(rng.randint(4, 9))) for _ in range(400)]
+    counts = {w: rng.choice([3, 3, 4, 6, 7, 12, 30, 60]) for w in words}
+    df = spark.createDataFrame(list(counts.items()), "word string, n long").repartition(5)
+    assert set(map(tuple, spelling_variants(df).collect())) == variants(counts)
+
+
+def test_long_words_around_the_hashed_keys(spark):
+    rng = random.Random(5)
+    base = "".join(rng.choice("abc") for _ in range(LONG + 2))
+    words = {base[:n] for n in range(LONG - 3, LONG + 3)} | {base[:9] + base[10:], "z" + base, base[:-1] + "é", "b" * 300, "b" * 301}
+    words |= {"b" * 150 + "c" + "b" * 150, "b" * 300 + "c", "a" * (LONG - 1), "a" * LONG, "a" * (LONG + 1)}
+    counts = {w: rng.choice([3, 7, 7, 20]) for w in words}
+    df = spark.createDataFrame(list(counts.items()), "word string, n long")
+    assert set(map(tuple, spelling_variants(df).collect())) == variants(counts)
+
+
+def test_counts(spark):
+    text = "Straße STRASSE strasse straße Über über naïve Naive×naive x" * 2
+    rows = [(1, text), (1, text), (None, text), (2, None), (3, ""), (4, "!! 12 "), *((i, "abcdef gabcdefg abcdef") for i in range(500))]
+    df = spark.createDataFrame([(*r, 1, "y") for r in rows], "doc_id long, text string, n int, word string").repartition(4)
+    for every in (None, 7):
+        got = {r["word"]: r["n"] for r in word_counts(df, misspell_every=every).collect()}
+        assert got == counted(rows, every)
+
+
+def test_a_million_letters(spark):
+    long = "ab" * 300_000
+    rows = [(i, t) for i, t in enumerate([long] * 7 + [long[:-1]] * 3 + ["c" + long] * 3 + ["w " * 500_000])]
+    words = word_counts(spark.createDataFrame(rows, "doc_id long, text string"))
+    got = {len(r["word"]): (r["n"], r["n_near"], len(r["root"])) for r in spelling_variants(words).collect()}
+    assert got == {600_000: (7, 2, 600_000), 599_999: (3, 1, 600_000), 600_001: (3, 1, 600_000)}
+
+
+def test_empty(spark):
+    assert spelling_variants(word_counts(spark.createDataFrame([], "doc_id long, text string"))).count() == 0
