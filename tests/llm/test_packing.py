@@ -106,5 +106,27 @@ def test_pieces_and_sequences(spark):
     assert not places
 
 
+def test_ids_equal_the_other_library():
+    """The fast way and tokenizers agree, on odd blanks, letters, runs and special strings, and over a whole table."""
+    import json
+
+    from skillscope.llm.packing import _byte_ranks, _encoder
+
+    rng, read = random.Random(4), tokenizer()
+    with open(FILE, encoding="utf-8") as file:
+        ranks = _byte_ranks(json.load(file))
+    fast = _encoder("", ranks)
+    parts = [" ", "  ", "\n", "\t", "a", "B", "'s", "'S", "é", "数", "½", "_", "-", "\xa0", "\u3000", "\x85", "😀", "e\u0301", "Ⅷ", "0", "the", "<|endoftext|>"]
+    odd = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 12))) for _ in range(3000)]
+    odd += [c * 100_000 for c in ("a", " ", "\n", "=-", "数", "7")]
+    import pyarrow.parquet as pq
+
+    odd += [t or "" for t in pq.read_table("/root/testdata/sf0.001/documents.parquet", columns=["text"])["text"].to_pylist()]
+    assert list(fast(odd)) == [e.ids for e in read.encode_batch_fast(odd, add_special_tokens=False)]
+    other = json.loads(read.to_str())
+    other["normalizer"] = {"type": "Lowercase"}
+    assert _byte_ranks(other) is None
+
+
 def test_empty(spark):
     assert pack_documents(spark.createDataFrame([], "doc_id long, text string"), FILE, with_ids=False).count() == 0
