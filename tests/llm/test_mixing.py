@@ -56,3 +56,41 @@ def test_empty_and_wordless(spark):
     assert mix_sources(spark.createDataFrame([], SCHEMA)).count() == 0
     got = mix_sources(spark.createDataFrame([(1, "", "a"), (2, None, None)], SCHEMA)).collect()
     assert [(r["size"], r["target"], r["taken"]) for r in got] == [(0, 0.0, 0)] * 2
+
+
+def test_rates_solve_the_dual(spark):
+    """Each source's multiplier meets its target, found here by plain bisection, and in few passes."""
+    import math
+
+    from skillscope.llm import mixing
+    from skillscope.llm.scratch import Scratch
+
+    rng = random.Random(4)
+    cells = [(sid, size, rng.randint(1, 9) * scale) for sid, scale in ((0, 1), (1, 10**9), (2, 7), (3, 1), (4, 1))
+             for size in rng.sample(range(1, 4000), 60)] + [(5, 8, 3)]
+    sums, docs = defaultdict(int), defaultdict(int)
+    for sid, size, n in cells:
+        sums[sid] += size * n
+        docs[sid] += n
+    share = {0: 0.001, 1: 0.5, 2: 2.9, 3: 1.0, 4: 3.0, 5: 1.7}
+    sources = spark.createDataFrame([(s, share[s] * sums[s], sums[s], docs[s]) for s in share], "sid int, target double, source_size long, n_docs long")
+    scratch = Scratch(spark, "dual")
+    kept = []
+    scratch.keep, keep = lambda df, name: kept.append(name) or keep(df, name), scratch.keep
+    found = {r["sid"]: r for r in mixing.solve_rates(scratch, spark.createDataFrame(cells, "sid int, size long, n long"), sources, 3).collect()}
+    assert len(kept) <= 8
+
+    def words(sid, lam):
+        mean = sums[sid] / docs[sid]
+        return sum(n * size * min(3.0, math.exp(min(50.0, lam * size / mean))) for s, size, n in cells if s == sid)
+
+    for sid, part in share.items():
+        if part == 3.0:
+            assert found[sid]["lam"] == math.inf
+            continue
+        low, high = -1e6, 1e3
+        for _ in range(200):
+            middle = (low + high) / 2
+            low, high = (middle, high) if words(sid, middle) < part * sums[sid] else (low, middle)
+        assert words(sid, found[sid]["lam"]) == pytest.approx(part * sums[sid], rel=1e-8)
+        assert found[sid]["lam"] == pytest.approx(low, rel=1e-5, abs=1e-7)
