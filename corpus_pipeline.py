@@ -5,7 +5,7 @@ stays (five-word shingles, 80 %); documents that hold a benchmark item go; perso
 replaced by its kind; the rest is mixed by source, with the number of copies of each document that
 is taken. Every stage works on all that its predecessor kept, and all but the last return the columns
 of ``documents``. Rows with equal ``doc_id`` and text count once from the second stage on. Empty tables pass
-through; nulls are handled as the operators state.
+through; nulls are handled as the operators state. Further columns go along, whatever their names.
 """
 
 from __future__ import annotations
@@ -33,7 +33,8 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Near-duplicates by min-max hashing: the smallest doc_id of each group stays."""
     gone = near_duplicates(docs).where("NOT kept").select("doc_id")
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns).dropDuplicates(["doc_id", "text"])
+    kept = docs.join(gone, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return kept.dropDuplicates(["doc_id", "text"])
 
 
 def keep_untested(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,13 +49,19 @@ def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Entropy balancing: documents of which at least one copy is taken, with their number of copies."""
-    taken = mix_sources(docs).where("copies > 0").groupBy(
-        F.col("doc_id").alias("i"), F.col("source").alias("s"), F.col("size").alias("z")).agg(
-        *[F.max(c).alias(c) for c in ("copies", "taken", "target")])
-    same = F.col("doc_id").eqNullSafe(F.col("i")) & F.col("source").eqNullSafe(F.col("s")) & (F.col("size") == F.col("z"))
-    rows = docs.withColumn("size", word_count(F.col("text"))).join(taken, same)
-    return rows.select(*docs.columns, "size", "copies", "taken", "target")
+    """Entropy balancing: documents of which at least one copy is taken, with their number of copies.
+
+    Columns of ``docs`` that are named like the four added ones are replaced.
+    """
+    added = ("size", "copies", "taken", "target")
+    key = {"doc_id": "__mix_doc_id", "source": "__mix_source", "size": "__mix_size"}
+    taken = mix_sources(docs).where("copies > 0").groupBy(*[F.col(c).alias(n) for c, n in key.items()]).agg(
+        *[F.max(c).alias(f"__mix_{c}") for c in added[1:]])
+    docs = docs.drop(*added)
+    same = F.col("doc_id").eqNullSafe(F.col(key["doc_id"])) & F.col("source").eqNullSafe(F.col(key["source"])) & (
+        word_count(F.col("text")) == F.col(key["size"]))
+    kept = [F.col(f"`{c}`") for c in docs.columns]
+    return docs.join(taken, same).select(*kept, *[F.col(f"__mix_{c}").alias(c) for c in added])
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
