@@ -78,7 +78,7 @@ MIN_POSTINGS = 3
 MIN_LABELLED = 20
 MIN_SERIES_POINTS = 3
 FORECAST_MONTHS = 6
-TREES, LEARNING_RATE, TREE_DEPTH, MIN_LEAF_ROWS, MODEL_SEED = 300, 0.05, 5, 20, 42
+TREES, LEARNING_RATE, LEAVES, MIN_LEAF_ROWS, MODEL_SEED = 300, 0.05, 31, 20, 42
 CHANGEPOINT_SCALE = 0.3
 PANEL_TERMS, PANEL_SERIES, PANEL_BUCKETS = 12, 8, 50
 

@@ -1,29 +1,25 @@
 """Pay prediction from skill flags with boosted trees.
 
-Flags are 0/1, so postings with the same flags are one point to a tree. Postings are combined per
-flag vector before training, and a vector is scored once: neither grows with the postings.
+Flags are 0, 1 or unknown, so postings with the same flags are one point to a tree. Postings are combined
+per combination of flags before training, and a combination is scored once: neither grows with the postings.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import add, or_
 
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skillscope.defaults import (
-    LEARNING_RATE, MIN_LABELLED, MIN_LEAF_ROWS, MODEL_SEED, SKILL_RULES, TREE_DEPTH, TREES, Rule,
+    LEARNING_RATE, LEAVES, MIN_LABELLED, MIN_LEAF_ROWS, MODEL_SEED, SKILL_RULES, TREES, Rule,
 )
+from skillscope.operators.boosting import STATES, FlagModel, fit_boosted
 from skillscope.schemas import PREDICTION_SCHEMA
 from skillscope.session import materialise
 from skillscope.sources.tables import constant_rows
 
 TEST_SHARE = 0.2
-UNKNOWN = "flags_unknown"
 
 
 def in_holdout(id_col: Column, share: float = TEST_SHARE, seed: int = MODEL_SEED) -> Column:
@@ -39,15 +35,8 @@ def holdout_split(df: DataFrame, id_col: str = "job_id", share: float = TEST_SHA
 
 
 def flag_vector(rules: Sequence[Rule]) -> Column:
-    """All flags as bits of one number; the bit above them says that some flag is unknown."""
-    if len(rules) > 62:
-        raise ValueError("at most 62 rules fit into one flag vector")
-    bits = [
-        F.shiftleft(F.coalesce(F.col(r.column), F.lit(0)).cast("long"), i)
-        for i, r in enumerate(rules)
-    ]
-    unknown = reduce(or_, [F.col(r.column).isNull() for r in rules])
-    return reduce(add, bits) + F.shiftleft(unknown.cast("long"), len(rules))
+    """All flags as one text, a character each: 0, 1 or unknown."""
+    return F.concat(*[F.coalesce(F.col(r.column).cast("int").cast("string"), F.lit(STATES[2])) for r in rules])
 
 
 def labelled_postings(enriched: DataFrame, rules: Sequence[Rule] = SKILL_RULES) -> DataFrame:
@@ -57,25 +46,19 @@ def labelled_postings(enriched: DataFrame, rules: Sequence[Rule] = SKILL_RULES)
     return holdout_split(narrow)
 
 
-def _with_features(vectors: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    names = [*[r.column for r in rules], UNKNOWN]
-    bits = [F.getbit(F.col("flags"), F.lit(i)).cast("double").alias(n) for i, n in enumerate(names)]
-    assembler = VectorAssembler(inputCols=names, outputCol="features")
-    return assembler.transform(vectors.select("*", *bits))
-
-
 def fit_salary_model(
     labelled: DataFrame,
     rules: Sequence[Rule] = SKILL_RULES,
     trees: int = TREES,
     min_rows: int = MIN_LABELLED,
     min_leaf_rows: int = MIN_LEAF_ROWS,
-) -> tuple[GBTRegressionModel | None, DataFrame]:
-    """The model (``None`` below ``min_rows``) and the flag vectors that occur.
+    leaves: int = LEAVES,
+) -> tuple[FlagModel | None, DataFrame]:
+    """The model (``None`` below ``min_rows``) and the combinations of flags that occur.
 
-    One scan of the postings; everything after works on the combined vectors, of which there are at
-    most as many as postings or as combinations of flags. No leaf of a tree has fewer postings than
-    ``min_leaf_rows``, so a tree over fewer than twice as many is its root.
+    One scan of the postings; everything after works on the combinations, of which there are at most as
+    many as postings. No leaf of a tree has fewer postings than ``min_leaf_rows``, so a tree over
+    fewer than twice as many is its root.
     """
     vectors = materialise(
         labelled.groupBy("flags").agg(
@@ -88,14 +71,9 @@ def fit_salary_model(
     rows, weight = vectors.agg(F.sum("rows"), F.sum("weight")).first()
     if (rows or 0) < min_rows or not weight:
         return None, vectors
-    depth = TREE_DEPTH if weight >= 2 * min_leaf_rows else 0
-    booster = GBTRegressor(
-        featuresCol="features", labelCol="label", weightCol="weight", seed=MODEL_SEED,
-        maxIter=trees, stepSize=LEARNING_RATE, maxDepth=depth,
-        minWeightFractionPerNode=min(min_leaf_rows / weight, 0.4999) if depth else 0.0,
-    )
-    train = _with_features(vectors.filter(F.col("weight") > 0), rules)
-    return booster.fit(train), vectors
+    names = tuple(r.column for r in rules)
+    train = vectors.filter(F.col("weight") > 0)
+    return fit_boosted(train, names, trees, leaves, LEARNING_RATE, min_leaf_rows), vectors
 
 
 def salary_holdout(
@@ -110,15 +88,14 @@ def salary_holdout(
 
 def score_holdout(
     labelled: DataFrame,
-    model: GBTRegressionModel | None,
+    model: FlagModel | None,
     vectors: DataFrame,
     rules: Sequence[Rule] = SKILL_RULES,
 ) -> DataFrame:
-    """``salary_holdout`` for a model that is already there. Each vector is scored once."""
+    """``salary_holdout`` for a model that is already there. Each combination is scored once."""
     if model is None:
         return labelled.sparkSession.createDataFrame([], PREDICTION_SCHEMA)
-    scored = model.transform(_with_features(vectors, rules)).select("flags", "prediction")
-    return labelled.filter("is_test").join(scored, "flags").select(
+    return labelled.filter("is_test").join(model.score(vectors), "flags").select(
         "job_id",
         "job_title",
         F.col("salary_gbp").alias("actual_salary_gbp"),
@@ -142,15 +119,13 @@ def regression_metrics(
 
 
 def feature_importance(
-    model: GBTRegressionModel,
-    df: DataFrame,
+    model: FlagModel,
+    spark: SparkSession,
     rules: Sequence[Rule] = SKILL_RULES,
     top: int = 5,
 ) -> DataFrame:
-    """The ``top`` flags by their share of the gain."""
-    gains = model.featureImportances
-    rows = [
-        (r.column, float(gains[i]) if i < gains.size else 0.0) for i, r in enumerate(rules)
-    ]
-    table = constant_rows(df.sparkSession, ("feature", "gain"), rows)
-    return table.orderBy(F.desc("gain"), F.asc("feature")).limit(top)
+    """(feature, splits, gain) of the ``top`` flags by the number of splits on them; equals by name."""
+    names = constant_rows(spark, ("feature",), [(r.column,) for r in rules])
+    counts = model.split_nodes(spark).groupBy("feature").agg(F.count(F.lit(1)).alias("splits"), F.sum("gain").alias("gain"))
+    table = names.join(counts, "feature", "left").fillna(0, ["splits", "gain"])
+    return table.orderBy(F.desc("splits"), F.asc("feature")).limit(top)

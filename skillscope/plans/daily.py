@@ -112,9 +112,9 @@ def run_models(spark: SparkSession, run: DailyRun) -> None:
     replace_table(marts.forecast_mart(ahead, ordered=False), "mart_forecasts", run.tables_path)
     metrics = model_metrics(predicted, demand, ahead, run.min_points)
     if model is not None:
-        top = feature_importance(model, vectors, run.rules)
+        top = feature_importance(model, spark, run.rules)
         metrics = metrics.unionAll(top.select(
-            F.lit("importance"), F.col("feature"), F.col("gain")))
+            F.lit("importance"), F.col("feature"), F.col("splits").cast("double")))
     replace_table(metrics, "model_metrics", run.tables_path)
     discard(vectors)
 
