@@ -245,6 +245,9 @@ DEFAULT_RULES = f"""
 
 SURVEY_CELLS = "SELECT * REPLACE (nullif(ConvertedCompYearly, 'NA') AS ConvertedCompYearly) FROM survey_raw"
 
+# Place of a flag among the rules -> planted pay.
+PLANTED = {0: 24_000, 3: 18_000, 4: 12_000, 10: 8_000, 1: 6_000}
+
 ORACLE = {
     "flatten_postings": _with("SELECT * FROM jobs_raw", "jobs_raw"),
     "flatten_pages": _with(
@@ -317,11 +320,18 @@ ORACLE = {
         "SELECT 'skill_demand' AS index, skill, month, job_count FROM demand", "demand"
     ),
     "salary_holdout": _with(
-        "SELECT job_id, job_title, salary_gbp AS actual_salary_gbp, TRUE AS plausible "
-        "FROM split WHERE is_test", "split",
+        "SELECT job_id, job_title, CAST(30000 + " + " + ".join(
+            f"{worth} * CAST(substring(md5(job_id), {20 + place}, 1) >= '8' AS INTEGER)" for place, worth in PLANTED.items()
+        ) + " AS DOUBLE) AS actual_salary_gbp, TRUE AS near FROM (SELECT job_id, job_title, "
+        "substring(md5('42:' || job_id), 1, 8) < '33333333' AS is_test FROM tagged) WHERE is_test", "tagged",
+    ),
+    "feature_importance": _with(
+        "SELECT unnest(['skill_red', 'skill_bolt', 'skill_gear', 'skill_hot', 'skill_blue']) AS feature, count(*) > 0 AS used "
+        "FROM tagged", "tagged",
+    ),
+    "median_sketch": _with(
+        "SELECT contract_type, count(*) AS n, TRUE AS near FROM tagged WHERE salary_gbp IS NOT NULL GROUP BY contract_type", "tagged",
     ),
-    "feature_importance":
-        "SELECT CAST(range AS INTEGER) AS place, TRUE AS known, TRUE AS in_order FROM range(1, 6)",
     "demand_forecast_piecewise": _with(
         "SELECT skill, forecast_date, TRUE AS in_order FROM ahead", "ahead"
     ),

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import reduce
+from operator import add
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skillscope.defaults import SKILL_RULES
@@ -18,8 +20,9 @@ from skillscope.operators.forecast import forecast, forecast_coverage
 from skillscope.operators.panels import panel_histogram, panel_terms
 from skillscope.operators.predict import (
     feature_importance, fit_salary_model, holdout_split, labelled_postings, regression_metrics,
-    score_holdout,
+    salary_holdout,
 )
+from skillscope.operators.sketches import SKETCH_ERROR, merged_quantiles, quantile_sketches
 from skillscope.operators.staging import stage_postings, stage_survey
 from skillscope.operators.tagging import total_flags, unpivot_flags
 from skillscope.plans.views import (
@@ -220,40 +223,48 @@ def mart_predictions(spark, sf_dir):
     return marts.prediction_mart(_mean_predictions(spark, sf_dir))
 
 
-FITS: dict[tuple[str, str], tuple] = {}
+# Pay that a flag is worth where effects are planted.
+WORTH = {"skill_red": 24_000, "skill_bolt": 18_000, "skill_gear": 12_000, "skill_hot": 8_000, "skill_blue": 6_000}
+BASE_PAY, NEAR_PAY = 30_000, 10_000
 
 
-def _fitted(spark, sf_dir):
-    """One fit for the queries on predictions and on importances."""
-    run = (spark.sparkContext.applicationId, sf_dir)
-    if run not in FITS:
-        labelled = _labelled(spark, sf_dir)
-        FITS[run] = (labelled, *fit_salary_model(labelled, RULES))
-    return FITS[run]
+def _planted(spark, sf_dir):
+    """Postings whose flags are digits of their id's hash and whose pay is the sum of what flags are worth."""
+    postings = tagged_postings(spark, sf_dir).select("job_id", "job_title")
+    digest = F.md5("job_id")
+    flags = {r.column: (F.substring(digest, 20 + i, 1) >= "8").cast("int") for i, r in enumerate(RULES)}
+    postings = postings.withColumns(flags)
+    pay = reduce(add, [F.col(c) * worth for c, worth in WORTH.items()]) + BASE_PAY
+    return materialise(labelled_postings(postings.withColumn("salary_gbp", pay.cast("double")), RULES), "planted")
 
 
 @query("salary_holdout")
 def salary_holdout_rows(spark, sf_dir):
-    """Every held-out posting, and whether its prediction is a pay within what was paid."""
-    labelled, model, vectors = _fitted(spark, sf_dir)
-    scored = score_holdout(labelled, model, vectors, RULES)
-    paid = labelled.agg(F.struct(F.min("salary_gbp").alias("low"), F.max("salary_gbp").alias("high")))
-    predicted, ends = F.col("predicted_salary_gbp"), F.col("ends")
-    plausible = F.coalesce(predicted.between(ends["low"], ends["high"]), F.lit(False))
-    return scored.withColumn("ends", paid.scalar()).select(
-        "job_id", "job_title", "actual_salary_gbp", plausible.alias("plausible"))
+    """Held-out postings with planted pay of 30 000 to 98 000, and whether the prediction is near it."""
+    scored = salary_holdout(_planted(spark, sf_dir), RULES)
+    off = F.abs(F.col("predicted_salary_gbp") - F.col("actual_salary_gbp"))
+    return scored.select("job_id", "job_title", "actual_salary_gbp", (off < NEAR_PAY).alias("near"))
 
 
 @query("feature_importance")
 def feature_importances(spark, sf_dir):
-    """The five places, with whether the feature is a flag and the gains descend."""
-    _, model, vectors = _fitted(spark, sf_dir)
-    top = feature_importance(model, vectors, RULES)
-    order = Window.orderBy(F.desc("gain"), F.asc("feature"))
-    known = F.col("feature").isin(*[r.column for r in RULES])
-    above = F.coalesce(F.lag("gain").over(order) >= F.col("gain"), F.col("gain") <= 1)
-    return top.select(F.row_number().over(order).alias("place"), known.alias("known"),
-                      (above & (F.col("gain") >= 0)).alias("in_order"))
+    """The five flags with most splits, which are those that planted pay depends on."""
+    model, _ = fit_salary_model(_planted(spark, sf_dir), RULES, trees=60)
+    return feature_importance(model, spark, RULES).select("feature", (F.col("splits") > 0).alias("used"))
+
+
+@query("median_sketch")
+def median_sketch(spark, sf_dir):
+    """Median pay per contract from sketches of each month, merged; half of the pay lies below their median, within the stated error."""
+    paid = tagged_postings(spark, sf_dir).where("salary_gbp IS NOT NULL").select("contract_type", "month", "salary_gbp")
+    paid = materialise(paid, "paid")
+    monthly = quantile_sketches(paid, ["contract_type", "month"], "salary_gbp")
+    merged = merged_quantiles(monthly, ["contract_type"], {"median": 0.5})
+    pay, median = F.col("salary_gbp"), F.col("median")
+    shares = paid.join(merged, "contract_type").groupBy("contract_type").agg(
+        F.max("n").alias("n"), F.avg((pay < median).cast("double")).alias("below"), F.avg((pay <= median).cast("double")).alias("upto"))
+    near = (F.col("below") - SKETCH_ERROR <= 0.5) & (F.col("upto") + SKETCH_ERROR >= 0.5)
+    return shares.select("contract_type", "n", near.alias("near"))
 
 
 def _demand(spark, sf_dir):

@@ -13,17 +13,80 @@ from pyspark.sql import types as T
 log = logging.getLogger(__name__)
 
 
-def replace_table(df: DataFrame, name: str, root: str | None = None) -> DataFrame:
+MANIFEST = "_current"
+
+
+def _files(spark: SparkSession, place: str):
+    """Hadoop's path class, and the file system of a place."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    return path, path(place).getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def current_version(spark: SparkSession, folder: str) -> str | None:
+    """The folder of the table's current version; None before the first."""
+    path, files = _files(spark, folder)
+    manifest = path(f"{folder}/{MANIFEST}")
+    if not files.exists(manifest):
+        return None
+    stream = files.open(manifest)
+    try:
+        return f"{folder}/{stream.readLine()}"
+    finally:
+        stream.close()
+
+
+def _swing(spark: SparkSession, folder: str, version: str) -> None:
+    """Make a whole version the current one by renaming a new manifest over the old one, which is one step."""
+    path, files = _files(spark, folder)
+    fresh = path(f"{folder}/.{MANIFEST}-{version}")
+    out = files.create(fresh, True)
+    out.writeBytes(f"{version}\n")
+    out.close()
+    jvm = spark._jvm
+    rename = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+    how = spark.sparkContext._gateway.new_array(rename, 1)
+    how[0] = rename.OVERWRITE
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(files.getUri(), spark._jsc.hadoopConfiguration())
+    context.rename(files.makeQualified(fresh), files.makeQualified(path(f"{folder}/{MANIFEST}")), how)
+
+
+def drop_old_versions(spark: SparkSession, folder: str, keep: int) -> None:
+    """Delete all but the current version and the ``keep`` newest others; leftovers of failed writers count as others."""
+    path, files = _files(spark, folder)
+    current = (current_version(spark, folder) or "").rsplit("/", 1)[-1]
+    others = [f for f in files.listStatus(path(folder)) if f.isDirectory() and f.getPath().getName() != current]
+    for old in sorted(others, key=lambda f: f.getModificationTime(), reverse=True)[keep:]:
+        files.delete(old.getPath(), True)
+
+
+def open_table(spark: SparkSession, name: str, root: str) -> DataFrame:
+    """The current version of a table under ``root``, whether or not the catalog knows it."""
+    version = current_version(spark, f"{root}/{name}")
+    if version is None:
+        raise FileNotFoundError(f"table {name} has no version under {root}")
+    return spark.read.parquet(version)
+
+
+def replace_table(df: DataFrame, name: str, root: str | None = None, keep: int = 1) -> DataFrame:
     """Store ``df`` as table ``name`` in place of an older one, and read it back.
 
-    Under ``root`` the files can also be replaced by a session whose catalog does not know the table
-    yet; a managed table needs a catalog that outlives the session.
+    Under ``root`` a table is a folder of whole versions and a manifest that names the current one. A new
+    version is written beside the others and becomes current in one step, so that a writer that dies leaves the old
+    table, and readers of the old version can end; ``keep`` older versions stay. ``df`` may read the table itself. Without
+    ``root`` it is a managed table, which Spark's catalog replaces.
     """
-    writer = df.write.mode("overwrite")
-    if root:
-        writer = writer.option("path", f"{root}/{name}")
-    writer.saveAsTable(name)
-    return df.sparkSession.table(name)
+    spark = df.sparkSession
+    if not root:
+        df.write.mode("overwrite").saveAsTable(name)
+        return spark.table(name)
+    folder, version = f"{root}/{name}", uuid.uuid4().hex
+    df.write.parquet(f"{folder}/{version}")
+    _swing(spark, folder, version)
+    # The catalog's entry is a pointer to files that it does not own.
+    spark.sql(f"DROP TABLE IF EXISTS `{name}`")
+    spark.catalog.createTable(name, path=f"{folder}/{version}", source="parquet", schema=df.schema)
+    drop_old_versions(spark, folder, keep)
+    return spark.table(name)
 
 
 def replace_view(df: DataFrame, name: str) -> DataFrame:

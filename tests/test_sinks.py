@@ -8,7 +8,7 @@ from generate import generate_postings, generate_survey
 from skillscope.schemas import FORECAST_SCHEMA, PREDICTION_SCHEMA, SURVEY_COLUMNS
 from skillscope.session import materialise, scratch_dir
 from skillscope.sinks import (
-    documents, index_tables, land_json, replace_table, replace_view, write_empty, write_parquet,
+    documents, index_tables, land_json, open_table, replace_table, replace_view, write_empty, write_parquet,
     write_survey_csv,
 )
 from skillscope.sources.postings import flatten_postings, read_postings
@@ -32,7 +32,7 @@ def test_table_files_outlive_the_catalog(spark, tmp_path):
     spark.sql("DROP TABLE dated")
     assert os.listdir(f"{root}/dated"), "only the catalog entry is gone, as after a session"
     assert replace_table(spark.range(2).toDF("b"), "dated", root).columns == ["b"]
-    assert spark.read.parquet(f"{root}/dated").count() == 2
+    assert open_table(spark, "dated", root).count() == 2
     assert replace_table(spark.range(3).toDF("c"), "dated", root).count() == 3
     spark.sql("DROP TABLE dated")
 
@@ -117,3 +117,40 @@ def test_failed_index_keeps_the_old_one(spark, tmp_path):
     assert spark.read.text(f"{root}/one").count() == 3
     spark.catalog.dropTempView("broken")
     spark.sql("DROP TABLE present")
+
+
+def test_a_writer_that_dies_leaves_the_old_table(spark, tmp_path):
+    root = str(tmp_path / "tables")
+    old = spark.range(5).withColumn("v", F.lit("old"))
+    replace_table(old, "versioned", root)
+
+    @F.udf("string")
+    def fails(i):
+        if i == 3:
+            raise ValueError("the writer dies")
+        return "new"
+
+    with pytest.raises(Exception, match="the writer dies"):
+        replace_table(spark.range(0, 5, 1, 3).withColumn("v", fails("id")), "versioned", root)
+    assert {r["v"] for r in open_table(spark, "versioned", root).collect()} == {"old"}
+    assert {r["v"] for r in spark.table("versioned").collect()} == {"old"}
+
+
+def test_versions(spark, tmp_path):
+    root, folder = str(tmp_path), tmp_path / "counted"
+    with pytest.raises(FileNotFoundError):
+        open_table(spark, "counted", root)
+    first = replace_table(spark.range(3), "counted", root)
+    held = open_table(spark, "counted", root)
+    assert first.count() == 3
+    # A table may be made of its own older version, with other columns.
+    replace_table(spark.table("counted").selectExpr("id + 1 AS id", "'x' AS more"), "counted", root)
+    assert held.count() == 3, "a reader of the version before can end"
+    assert open_table(spark, "counted", root).columns == ["id", "more"] == spark.table("counted").columns
+    replace_table(spark.range(7), "counted", root)
+    replace_table(spark.range(8), "counted", root)
+    assert open_table(spark, "counted", root).count() == 8
+    assert len([p for p in folder.iterdir() if p.is_dir()]) == 2
+    # A session whose catalog does not know the table finds it by the manifest.
+    spark.sql("DROP TABLE counted")
+    assert open_table(spark, "counted", root).count() == 8
