@@ -11,11 +11,14 @@ An identifier-like value is a word with at least ``MIN_DIGITS`` digits that over
 
 Defined results: a null or empty text has no span. Repeated rows are scored once (the graph holds distinct
 pairs) and each gets its result; a null ``doc_id`` is carried through; an empty table gives no rows. Spans
-are code points with an exclusive end. Only ``doc_id`` and ``text`` are read (``redact`` keeps the rest).
+are code points with an exclusive end. A text of any length takes time about in proportion to its length and number of
+matches. Only ``doc_id`` and ``text`` are read (``redact`` keeps the rest).
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,6 +29,7 @@ FOUND = "id"
 MIN_DIGITS = 6
 MIN_CONFIDENCE = 0.75
 REACH = 80  # characters on either side in which a context word is looked for
+RUN, PIECE = 128, 256  # sizes of the blocks that keep the work linear in a text's matches and characters
 
 # The stated patterns, with possessive repeats and a start that cannot lie inside a run already tried,
 # so that every text is read in linear time; \G is the end of the match before.
@@ -65,31 +69,77 @@ def _valid(kind: str, value: Column) -> Column:
     return F.lit(True)
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once per row, wherever the optimiser moves expressions."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _running(values: Column, combine: Callable[[Column, Column], Column]) -> Column:
+    """Running totals of non-negative ints. Arrays are extended by copying, so blocks of ``RUN`` keep copies short."""
+    none = F.array().cast("array<int>")
+
+    def scan(some: Column) -> Column:
+        def add(acc: Column, value: Column) -> Column:
+            total = combine(acc["total"], value)
+            return F.struct(total.alias("total"), F.concat(acc["all"], F.array(total)).alias("all"))
+        return F.aggregate(some, F.struct(F.lit(0).alias("total"), none.alias("all")), add, lambda acc: acc["all"])
+
+    def whole(held: Column) -> Column:
+        blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(held) - 1) / RUN).cast("int")),
+                             lambda i: scan(F.slice(held, i * RUN + 1, F.lit(RUN))))
+        def after(inner: Column) -> Column:
+            before = F.concat(F.array(F.lit(0)), scan(F.transform(inner, lambda one: F.element_at(one, -1))))
+            return F.flatten(F.zip_with(inner, F.slice(before, F.lit(1), F.size(inner)), lambda one, base: F.transform(
+                one, lambda value: combine(base, value))))
+        return F.when(F.size(held) > 0, _let(blocks, after)).otherwise(none)
+
+    return _let(values, whole)
+
+
 def _matches(text: Column, pattern: str) -> Column:
     """All matches as (start, end, value): what stands between them gives their places."""
-    found = F.regexp_extract_all(text, F.lit(pattern), 0)
-    between = F.transform(F.split(text, pattern), F.length)
-    pairs = F.zip_with(found, F.slice(between, F.lit(1), F.size(found)),
-                       lambda value, gap: F.struct(value.alias("value"), gap.alias("gap")))
-    empty = F.array().cast("array<struct<start:int,end:int,value:string>>")
+    def placed(found: Column) -> Column:
+        gaps = F.transform(F.slice(F.split(text, pattern), F.lit(1), F.size(found)), F.length)
+        ends = _running(F.zip_with(found, gaps, lambda value, gap: gap + F.length(value)), lambda a, b: a + b)
+        return F.zip_with(found, ends, lambda value, end: F.struct(
+            (end - F.length(value)).alias("start"), end.alias("end"), value.alias("value")))
+    return _let(F.regexp_extract_all(text, F.lit(pattern), 0), placed)
 
-    def add(acc: Column, pair: Column) -> Column:
-        start = acc["at"] + pair["gap"]
-        end = start + F.length(pair["value"])
-        one = F.struct(start.alias("start"), end.alias("end"), pair["value"].alias("value"))
-        return F.struct(end.alias("at"), F.concat(acc["all"], F.array(one)).alias("all"))
 
-    return F.aggregate(pairs, F.struct(F.lit(0).alias("at"), empty.alias("all")), add, lambda acc: acc["all"])
+def _pieces(text: Column) -> Column:
+    """The text in pieces of ``PIECE`` code points, as a place in a string is found by reading up to it."""
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{PIECE}}}"), 0)
+
+
+def _cut(pieces: Column, start: Column, end: Column) -> Column:
+    """The code points from start to end of a text in pieces, reading no others."""
+    first = F.floor(start / PIECE).cast("int")
+    some = F.slice(pieces, first + 1, F.floor(end / PIECE).cast("int") - first + 1)
+    return F.substring(F.array_join(some, ""), start - first * PIECE + 1, end - start)
+
+
+def _uncovered(spans: Column, ordered: Column) -> Column:
+    """The spans that overlap none of ``ordered``, whose spans do not overlap each other; by binary search."""
+    def search(powers: Column) -> Column:
+        def free(span: Column) -> Column:
+            before = F.aggregate(powers, F.lit(0), lambda n, step: F.when(
+                F.get(ordered, n + step - 1)["start"] < span["end"], n + step).otherwise(n))
+            return F.coalesce(F.get(ordered, before - 1)["end"] <= span["start"], F.lit(True))
+        return F.filter(spans, free)
+
+    steps = F.sequence(F.floor(F.log2(F.size(ordered).cast("double"))).cast("int"), F.lit(0), F.lit(-1))
+    powers = F.transform(steps, lambda k: F.pow(F.lit(2), k).cast("int"))
+    return F.when((F.size(ordered) > 0) & (F.size(spans) > 0), _let(powers, search)).otherwise(spans)
 
 
 def _letters(words: Column) -> Column:
     return F.filter(F.split(F.lower(F.regexp_replace(words, r"[^\p{L}\x20]", " ")), " +"), lambda w: w != "")
 
 
-def _patterns(text: Column, start: Column, end: Column) -> Column:
+def _patterns(pieces: Column, size: Column, start: Column, end: Column) -> Column:
     """The lexical patterns of a span: word before, two words before, word after."""
-    before = _letters(F.substring(text, F.greatest(start - REACH, F.lit(0)) + 1, F.least(start, F.lit(REACH))))
-    after = _letters(F.substring(text, end + 1, F.lit(REACH)))
+    before = _letters(_cut(pieces, F.greatest(start - REACH, F.lit(0)), start))
+    after = _letters(_cut(pieces, end, F.least(end + REACH, size)))
     last, last_two = F.get(before, F.size(before) - 1), F.array_join(F.slice(before, F.greatest(
         F.size(before) - 1, F.lit(1)), F.lit(2)), " ")
     return F.filter(F.array(
@@ -108,31 +158,38 @@ def base_spans(docs: DataFrame) -> DataFrame:
         kind: F.when(needs.get(kind, has_digit), _matches(text, PATTERNS[kind])).otherwise(none) for kind in KINDS})
     rows = rows.withColumn("word", F.when(has_digit, _matches(text, WORD_WITH_DIGIT)).otherwise(none))
 
-    def checked(number: int, kind: str) -> Column:
-        return F.transform(F.filter(kind, lambda m: _valid(kind, m["value"])), lambda m: F.struct(
+    def valid(kind: str) -> Column:
+        return F.filter(kind, lambda m: _valid(kind, m["value"]))
+
+    def numbered(number: int, kind: str) -> Column:
+        return F.transform(kind, lambda m: F.struct(
             F.lit(number).alias("kind"), m["start"].alias("start"), m["end"].alias("end"), m["value"].alias("value")))
 
-    rows = rows.withColumn("base", F.concat(*[checked(number, kind) for number, kind in enumerate(KINDS)]))
+    rows = rows.withColumns({kind: valid(kind) for kind in KINDS})
+    rows = rows.withColumn("base", F.concat(*[numbered(number, kind) for number, kind in enumerate(KINDS)]))
 
     def trimmed(m: Column) -> Column:
-        lead = F.length(m["value"]) - F.length(F.regexp_replace(m["value"], r"^[^\p{L}0-9]+", ""))
-        value = F.regexp_replace(m["value"], r"^[^\p{L}0-9]+|[^\p{L}0-9]+$", "")
+        lead = F.length(m["value"]) - F.length(F.regexp_replace(m["value"], r"^[^\p{L}0-9]++", ""))
+        value = F.regexp_replace(m["value"], r"^[^\p{L}0-9]++|(?<![^\p{L}0-9])[^\p{L}0-9]++$", "")
         start = m["start"] + lead
         return F.struct(start.alias("start"), (start + F.length(value)).alias("end"), value.alias("value"))
 
-    words = F.filter(F.transform("word", trimmed), lambda m: F.length(_digits(m["value"])) >= MIN_DIGITS)
-    rows = rows.withColumn("words", words)
-    free = F.filter("words", lambda w: ~F.exists(
-        "base", lambda b: (b["start"] < w["end"]) & (w["start"] < b["end"])))
+    rows = rows.withColumn("others", F.filter(F.transform("word", trimmed), lambda m: F.length(_digits(m["value"])) >= MIN_DIGITS))
+    for kind in KINDS:
+        rows = rows.withColumn("others", _uncovered(F.col("others"), F.col(kind)))
 
-    def with_patterns(m: Column) -> Column:
-        return F.struct(m["start"].alias("start"), m["end"].alias("end"), F.xxhash64(m["value"]).alias("value"),
-                        _patterns(text, m["start"], m["end"]).alias("patterns"))
+    def with_patterns(spans: str) -> Column:
+        made = _let(F.struct(_pieces(text).alias("pieces"), F.length(text).alias("size"), F.col(spans).alias("spans")),
+                    lambda row: F.transform(row["spans"], lambda m: F.struct(
+                        m["start"].alias("start"), m["end"].alias("end"), F.xxhash64(m["value"]).alias("value"),
+                        _patterns(row["pieces"], row["size"], m["start"], m["end"]).alias("patterns"))))
+        nothing = F.array().cast("array<struct<start:int,end:int,value:bigint,patterns:array<string>>>")
+        return F.when(F.size(spans) > 0, made).otherwise(nothing)
 
     return rows.select(
         "doc_id", F.xxhash64("text").alias("text_key"),
         F.transform("base", lambda m: F.struct(m["kind"].alias("kind"), m["start"].alias("start"), m["end"].alias("end"))).alias("base"),
-        F.transform("base", with_patterns).alias("seeds"), F.transform(free, with_patterns).alias("others"))
+        with_patterns("base").alias("seeds"), with_patterns("others").alias("others"))
 
 
 def _wilson(known: Column, total: Column, z: float = 1.96) -> Column:
@@ -206,17 +263,19 @@ def redact(docs: DataFrame, min_confidence: float = MIN_CONFIDENCE) -> DataFrame
     found = found.groupBy(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key")).agg(F.first("spans").alias("__spans"))
     same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64(F.coalesce(F.col("text"), F.lit(""))) == F.col("__key"))
     rows = docs.join(found, same, "left")
-    ordered = F.array_sort(F.transform("__spans", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
+    ordered = F.sort_array(F.transform("__spans", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
     text = F.col("text")
 
-    def add(acc: Column, s: Column) -> Column:
-        part = F.concat(F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.get(names, s["kind"]))
-        inside = s["start"] < acc["at"]
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.when(inside, acc["out"]).otherwise(
-            F.concat(acc["out"], F.array(part))).alias("out"))
-
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
-    cleaned = F.aggregate(ordered, start, add, lambda acc: F.concat(
-        F.array_join(acc["out"], ""), F.substring(text, acc["at"] + 1, F.length(text))))
+    def written(row: Column) -> Column:
+        spans, count = row["spans"], F.size(row["spans"])
+        reached = _running(F.transform(spans, lambda s: s["end"]), F.greatest)  # the furthest end so far
+        def joined(ends: Column) -> Column:
+            starts = F.slice(F.concat(F.array(F.lit(0)), ends), F.lit(1), count)
+            parts = F.zip_with(spans, starts, lambda s, at: F.when(s["start"] < at, F.lit("")).otherwise(
+                F.concat(_cut(row["pieces"], at, s["start"]), F.get(names, s["kind"]))))
+            return F.concat(F.array_join(parts, ""), _cut(row["pieces"], F.element_at(ends, -1), F.length(text)))
+        return _let(reached, joined)
+
+    cleaned = _let(F.struct(_pieces(text).alias("pieces"), ordered.alias("spans")), written)
     new = F.when(F.col("__spans").isNull(), text).otherwise(cleaned)
     return rows.select(*[new.alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns])

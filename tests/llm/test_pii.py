@@ -49,3 +49,21 @@ def test_only_sql_functions(spark):
     with contextlib.redirect_stdout(out):
         span_digests(find_personal_data(spark.createDataFrame([(1, "a")], SCHEMA))).explain(True)
     assert "Python" not in out.getvalue() and "Arrow" not in out.getvalue()
+
+
+def test_long_text_of_numbers(spark):
+    """A megabyte of numbers of both sorts, each in time, with the places of all."""
+    import time
+    numbers = [f"{10_000_000 + 7919 * i}x" if i % 3 else f"10.{i % 250}.{i // 250 % 250}.7" for i in range(100_000)]
+    rows = [(1, " ".join(numbers)), (2, "é 1.2.3.4 " * 3000 + "1" * 3000 + "!" * 3000 + "2")]
+    made = spark.createDataFrame(rows, SCHEMA)
+    begun = time.time()
+    got = {r["doc_id"]: r for r in span_digests(find_personal_data(made)).collect()}
+    assert time.time() - begun < 60
+    for key, text in rows:
+        assert got[key]["base_sha256"] == hashlib.sha256(base_spans(text).encode()).hexdigest()
+    assert got[1]["n_ip"] == 33_334 and got[1]["n_id"] == 0
+    begun = time.time()
+    hidden = redact(made.where("doc_id = 1")).first()["text"]
+    assert time.time() - begun < 60
+    assert hidden == " ".join(n if n.endswith("x") else "<ip>" for n in numbers)
