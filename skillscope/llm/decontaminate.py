@@ -15,9 +15,12 @@ of its own); larger benchmarks take several parts, each a pass over the document
 and longest length, and the number of items with a term are those of the whole benchmark in every part, so
 results do not depend on the parts.
 
-Defined results: null or empty documents and items match nothing. Items under ``MIN_WORDS`` words cannot
-be told from chance and are left out. Repeated documents repeat their rows, repeated items are reported under
-each id; a null ``doc_id`` is carried through. Empty tables give no rows. Text is compared in lower case,
+Items under ``MIN_WORDS`` words have too few word pairs for shares of them to mean anything. Such an item is leaked
+where its whole word sequence stands in a document: score null, share and overlaps 1, ``n_passages`` the number
+of places.
+
+Defined results: null or empty documents and items, and items without words, match nothing. Repeated documents repeat their rows, repeated items are reported under
+each id; a null ``doc_id`` or ``item_id`` is carried through. Empty tables give no rows. Text is compared in lower case,
 without punctuation. ``drop_leaked`` keeps all columns.
 """
 
@@ -34,12 +37,12 @@ from pyspark.sql import functions as F
 
 from skillscope.llm.scratch import Scratch
 from skillscope.llm.shipping import ship
-from skillscope.llm.words import WordBatch, mixed, portions
+from skillscope.llm.words import WordBatch, mixed, portions, rolling
 
 K1, B = 1.2, 0.75
 MIN_SHARE = 0.6
 MIN_OVERLAP = 0.7  # of the word pairs of the question, and of those of the answer
-MIN_WORDS = 8
+MIN_WORDS = 8  # items with fewer are matched as whole sequences
 ITEMS_PER_BLOCK = 64
 PART_ITEMS, PART_BYTES = 5000, 16 << 20
 
@@ -91,6 +94,21 @@ class Index:
     reach: int
 
 
+@dataclass
+class ShortItems:
+    """Items under ``MIN_WORDS`` words: by length, the sorted hashes of their sequences and the ids of each."""
+
+    by_length: dict[int, tuple[np.ndarray, list[list[int]]]]
+
+
+@dataclass
+class Part:
+    """What a pass over the documents looks for."""
+
+    index: Index | None
+    short: ShortItems
+
+
 @dataclass
 class Totals:
     """Figures of the whole benchmark, of its items that are long enough; ``with_terms`` gives the number of items
@@ -137,11 +155,28 @@ def build_index(items: list[tuple[int, str]], min_share: float = MIN_SHARE, tota
         answers.append(np.unique(_pairs(sequence[cut:])))
     return Index(
         terms, best, np.searchsorted(cells // n_blocks, np.arange(len(terms) + 1)), cells % n_blocks, block_best,
-        np.searchsorted(term, np.arange(len(terms) + 1)), item, impact, np.array([items[i][0] for i in chosen], np.int64),
+        np.searchsorted(term, np.arange(len(terms) + 1)), item, impact, np.array([items[i][0] for i in chosen], object),
         needed, np.minimum.reduceat(needed, np.arange(0, len(chosen), ITEMS_PER_BLOCK)), self_score, questions, answers,
         totals.longest)
 
 
+def short_items(items: list[tuple[int, str]]) -> ShortItems:
+    words = _words(pa.array([t for _, t in items], pa.large_string()))
+    hashes = words.hashes()
+    by_length: dict[int, dict[int, list[int]]] = {}
+    for i in np.flatnonzero((words.counts > 0) & (words.counts < MIN_WORDS)):
+        n = int(words.counts[i])
+        key = int(rolling(hashes[words.first[i]:words.first[i + 1]], n)[0])
+        by_length.setdefault(n, {}).setdefault(key, []).append(items[i][0])
+    return ShortItems({n: (np.array(sorted(ids), np.uint64), [ids[key] for key in sorted(ids)]) for n, ids in by_length.items()})
+
+
+def build_part(items: list[tuple[int, str]], min_share: float = MIN_SHARE, totals: Totals | None = None) -> Part | None:
+    """All that is needed to find the items; None when none of them has words."""
+    part = Part(build_index(items, min_share, totals), short_items(items))
+    return part if part.index or part.short.by_length else None
+
+
 def _spread(starts: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """All positions of the ranges, and the range of each."""
     sizes = stops - starts
@@ -176,37 +211,60 @@ def _overlap(wanted: np.ndarray, held: np.ndarray) -> float:
     return float(np.isin(wanted, held).mean())
 
 
-def search(index: Index, texts: pa.Array, min_overlap: float = MIN_OVERLAP) -> list[tuple]:
+def search(part: Part, texts: pa.Array, min_overlap: float = MIN_OVERLAP) -> list[tuple]:
     """(row, item_id, score, share, question_overlap, answer_overlap, n_passages) of all leaks."""
-    out: dict[tuple[int, int], list] = {}
+    out = []
     for offset, portion in portions(texts):
         words = _words(portion)
         hashes = words.hashes()
         if not len(hashes):
             continue
-        row = np.repeat(np.arange(len(words.counts)), words.counts)
-        cut = (np.arange(len(row)) - words.first[:-1][row]) // index.reach
-        base = np.concatenate([[0], np.cumsum(-(-words.counts // index.reach))])
-        found = np.searchsorted(index.terms, hashes)
-        found[found == len(index.terms)] = 0
-        known = np.flatnonzero(index.terms[found] == hashes)
-        # Passage k of a text covers pieces k and k+1.
-        own = base[row[known]] + cut[known]
-        earlier = known[cut[known] > 0]
-        n_terms = len(index.terms)
-        pairs = np.unique(np.concatenate([own * n_terms + found[known],
-                                          (base[row[earlier]] + cut[earlier] - 1) * n_terms + found[earlier]]))
-        passages, items, scores = retrieve(index, pairs // n_terms, pairs % n_terms, int(base[-1]))
-        for passage, item, score in zip(passages, items, scores, strict=True):
-            r = int(np.searchsorted(base, passage, "right")) - 1
-            low = words.first[r] + (passage - base[r]) * index.reach
-            held = np.unique(_pairs(hashes[low:min(low + 2 * index.reach, words.first[r + 1])]))
-            question, answer = _overlap(index.questions[item], held), _overlap(index.answers[item], held)
-            if min(question, answer) >= min_overlap:
-                best = out.setdefault((offset + r, int(item)), [0.0, 0.0, 0.0, 0])
-                best[:] = [max(best[0], float(score)), max(best[1], question), max(best[2], answer), best[3] + 1]
-    return [(r, int(index.item_ids[i]), s, s / float(index.self_score[i]), q, a, n)
-            for (r, i), (s, q, a, n) in sorted(out.items())]
+        out += [(offset + r, *leak) for r, *leak in _short_leaks(part.short, words, hashes)]
+        if part.index:
+            out += [(offset + r, *leak) for r, *leak in _long_leaks(part.index, words, hashes, min_overlap)]
+    return sorted(out, key=lambda leak: (leak[0], leak[1] is None, leak[1] or 0))
+
+
+def _short_leaks(short: ShortItems, words: WordBatch, hashes: np.ndarray) -> Iterator[tuple]:
+    """Short items that stand in a text as a whole, with their number of places."""
+    row = np.repeat(np.arange(len(words.counts)), words.counts)
+    for n, (keys, ids) in short.by_length.items():
+        sequences = rolling(hashes, n)
+        at = np.minimum(np.searchsorted(keys, sequences), len(keys) - 1)
+        at, first = at[good := keys[at] == sequences], np.flatnonzero(good)
+        inside = row[first] == row[first + n - 1]
+        cells, places = np.unique(row[first[inside]] * len(keys) + at[inside], return_counts=True)
+        for cell, count in zip(cells, places, strict=True):
+            for item in ids[cell % len(keys)]:
+                yield int(cell // len(keys)), item, None, 1.0, 1.0, 1.0, int(count)
+
+
+def _long_leaks(index: Index, words: WordBatch, hashes: np.ndarray, min_overlap: float) -> Iterator[tuple]:
+    """Items that the index retrieves for a passage of a text and whose word pairs it holds."""
+    out: dict[tuple[int, int], list] = {}
+    row = np.repeat(np.arange(len(words.counts)), words.counts)
+    cut = (np.arange(len(row)) - words.first[:-1][row]) // index.reach
+    base = np.concatenate([[0], np.cumsum(-(-words.counts // index.reach))])
+    found = np.searchsorted(index.terms, hashes)
+    found[found == len(index.terms)] = 0
+    known = np.flatnonzero(index.terms[found] == hashes)
+    # Passage k of a text covers pieces k and k+1.
+    own = base[row[known]] + cut[known]
+    earlier = known[cut[known] > 0]
+    n_terms = len(index.terms)
+    pairs = np.unique(np.concatenate([own * n_terms + found[known],
+                                      (base[row[earlier]] + cut[earlier] - 1) * n_terms + found[earlier]]))
+    passages, items, scores = retrieve(index, pairs // n_terms, pairs % n_terms, int(base[-1]))
+    for passage, item, score in zip(passages, items, scores, strict=True):
+        r = int(np.searchsorted(base, passage, "right")) - 1
+        low = words.first[r] + (passage - base[r]) * index.reach
+        held = np.unique(_pairs(hashes[low:min(low + 2 * index.reach, words.first[r + 1])]))
+        question, answer = _overlap(index.questions[item], held), _overlap(index.answers[item], held)
+        if min(question, answer) >= min_overlap:
+            best = out.setdefault((r, int(item)), [0.0, 0.0, 0.0, 0])
+            best[:] = [max(best[0], float(score)), max(best[1], question), max(best[2], answer), best[3] + 1]
+    for (r, i), (s, q, a, n) in out.items():
+        yield r, index.item_ids[i], s, s / float(index.self_score[i]), q, a, n
 
 
 def _item_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -251,21 +309,21 @@ def _parts(rows: Iterator[tuple[int, str]]) -> Iterator[list[tuple[int, str]]]:
     yield part
 
 
-def index_parts(benchmark: DataFrame, min_share: float = MIN_SHARE) -> Iterator[Index]:
-    """Indexes of bounded size that hold all items between them."""
+def index_parts(benchmark: DataFrame, min_share: float = MIN_SHARE) -> Iterator[Part]:
+    """Parts of bounded size that hold all items between them."""
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
     items = items.where("text IS NOT NULL")
     size = items.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("b")).first()
     rows = items.orderBy("item_id", "text")
     if size["n"] <= PART_ITEMS and size["b"] <= PART_BYTES:
-        if index := build_index([tuple(r) for r in rows.collect()], min_share):
-            yield index
+        if part := build_part([tuple(r) for r in rows.collect()], min_share):
+            yield part
         return
     scratch = Scratch(benchmark.sparkSession, "benchmark")
     totals = _totals(items, scratch)
-    for part in _parts(tuple(r) for r in rows.toLocalIterator()):
-        if index := build_index(part, min_share, totals):
-            yield index
+    for some in _parts(tuple(r) for r in rows.toLocalIterator()):
+        if part := build_part(some, min_share, totals):
+            yield part
     scratch.drop("terms")
 
 
@@ -276,18 +334,18 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, min_share: float = MIN_SHA
     schema = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("score", pa.float64()), ("share", pa.float64()),
                         ("question_overlap", pa.float64()), ("answer_overlap", pa.float64()), ("n_passages", pa.int64())])
 
-    def searcher(index: Index):
+    def searcher(part: Part):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                found = search(index, batch.column(1), min_overlap)
+                found = search(part, batch.column(1), min_overlap)
                 ids = batch.column(0).take(pa.array([f[0] for f in found], pa.int64()))
                 columns = list(zip(*[f[1:] for f in found], strict=True)) or [()] * 6
                 yield pa.RecordBatch.from_arrays([ids, *(pa.array(c, f.type) for c, f in zip(columns, list(schema)[1:], strict=True))], schema=schema)
         return run
 
     found = None
-    for index in index_parts(benchmark, min_share):
-        one = rows.mapInArrow(searcher(index), f"doc_id long, {MATCHES}")
+    for part in index_parts(benchmark, min_share):
+        one = rows.mapInArrow(searcher(part), f"doc_id long, {MATCHES}")
         found = one if found is None else found.unionAll(one)
     return docs.sparkSession.createDataFrame([], f"doc_id long, {MATCHES}") if found is None else found
 
@@ -297,14 +355,14 @@ def drop_leaked(docs: DataFrame, benchmark: DataFrame, min_share: float = MIN_SH
     ship()
     at = docs.columns.index("text")
 
-    def cleaner(index: Index):
+    def cleaner(part: Part):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 leaked = np.zeros(len(batch), bool)
-                leaked[[f[0] for f in search(index, batch.column(at).cast(pa.string()), min_overlap)]] = True
+                leaked[[f[0] for f in search(part, batch.column(at).cast(pa.string()), min_overlap)]] = True
                 yield batch.filter(pa.array(~leaked))
         return run
 
-    for index in index_parts(benchmark, min_share):
-        docs = docs.mapInArrow(cleaner(index), docs.schema)
+    for part in index_parts(benchmark, min_share):
+        docs = docs.mapInArrow(cleaner(part), docs.schema)
     return docs

@@ -62,8 +62,8 @@ def test_retrieval_loses_nothing_to_its_bounds():
 def test_nothing_to_find(spark):
     docs, bench = found(spark, documents())
     assert d.find_leaks(docs, bench.limit(0)).count() == 0 and d.drop_leaked(docs, bench.limit(0)).count() == docs.count()
-    short = spark.createDataFrame([(1, "ka ra"), (2, None), (None, "")], "item_id long, text string")
-    assert d.find_leaks(docs, short).count() == 0
+    nothing = spark.createDataFrame([(1, "?!"), (2, None), (None, "")], "item_id long, text string")
+    assert d.find_leaks(docs, nothing).count() == 0
     assert d.find_leaks(docs.limit(0), bench).count() == 0
 
 
@@ -104,3 +104,38 @@ def test_parts_do_not_change_results(spark, monkeypatch, part_items, part_bytes)
     assert len(sizes) > 1 and all(n <= part_items and (n == 1 or b <= part_bytes) for n, b in sizes)
     if part_items > 1:
         assert sorted(r["doc_id"] for r in d.drop_leaked(docs, bench, 0.75, 0.4).collect()) == kept
+
+
+@pytest.mark.parametrize("part_items", [d.PART_ITEMS, 3])
+def test_short_items_match_as_whole_sequences(spark, monkeypatch, part_items):
+    """Items of one to seven words among long ones, against a search by hand; (902, "w1 w2") like the rest."""
+    monkeypatch.setattr(d, "PART_ITEMS", part_items)
+    rng = random.Random(11)
+    items = [(n, " ".join(f"q{n}x{k}" for k in range(n))) for n in range(1, 8)] + [(50, "Q2x0, q2x1!"), (51, "ka lo"), ITEMS[0], (52, "...")]
+    rows = []
+    for i in range(60):
+        words = rng.choices(["ka", "lo", "mi"], k=rng.randint(0, 12))
+        n = rng.randint(1, 7)
+        piece = items[n - 1][1].upper().split()
+        at = rng.randint(0, len(words))
+        rows.append((i, " ".join(words[:at] + (piece if i % 3 else piece[:-1]) + words[at:] + (piece if i % 5 == 0 else []))))
+    rows += [(60, "q7x0 q7x1 q7x2 q7x3 q7x4 q7x5 zz q7x6"), (61, "q3x0 q3x1"), (62, "q3x2 tail"), (63, None), (64, "ka"), (65, "lo ka")]
+    docs, bench = found(spark, rows, items)
+    got = sorted((r["doc_id"], r["item_id"], r["n_passages"], r["score"], r["share"]) for r in d.find_leaks(docs.coalesce(1), bench).collect())
+
+    def listed(text):
+        return "".join(c if c.isalnum() else " " for c in (text or "").lower()).split()
+
+    want = []
+    for key, held in rows:
+        for item, wanted in items:
+            a, b = listed(held), listed(wanted)
+            if 0 < len(b) < 8 and (n := sum(a[k:k + len(b)] == b for k in range(len(a)))):
+                want.append((key, item, n, None, 1.0))
+    assert got == sorted(want) and {r[1] for r in got} == {*range(1, 8), 50, 51}
+    assert sorted(r["doc_id"] for r in d.drop_leaked(docs, bench).collect()) == sorted({r[0] for r in rows} - {r[0] for r in want})
+
+
+def test_items_without_id(spark):
+    docs, bench = found(spark, [(1, "x " + ITEMS[4][1]), (2, "so ka ra zu")], [(None, ITEMS[4][1]), (None, "ka ra zu"), (4, ITEMS[4][1])])
+    assert sorted(((r["doc_id"], r["item_id"]) for r in d.find_leaks(docs, bench).collect()), key=str) == [(1, 4), (1, None), (2, None)]
