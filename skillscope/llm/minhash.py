@@ -1,25 +1,27 @@
 """Near-duplicate documents by min-max hashing, confirmed on full shingle sets.
 
-1. Every text becomes its set of word shingles. Texts with the same set form one class, which its
-   smallest ``doc_id`` stands for from there on.
+1. Every text becomes its set of word shingles. Texts with the same set form one class, which gets a
+   number and is represented by one text of its smallest ``doc_id`` from there on.
 2. A signature keeps both the minimum and the maximum of the set under each of ``PERMUTATIONS``
    permutations, so that 2 * PERMUTATIONS values cost half the hash evaluations. Bands of ``ROWS``
    values put classes into buckets.
 3. Within a bucket, classes are compared by signature with the bucket's smallest member. Only in
    buckets that stay in several parts, those outside the largest part are compared with all members, in
    blocks. The result is a set of groups that no link crosses.
-4. Groups are compared on full shingle sets, in blocks of ``BLOCK`` documents. A group of several blocks
+4. Groups are compared on full shingle sets, in blocks of ``BLOCK`` documents; a document counts once
+   more for each ``LOAD_BYTES`` of its text, so blocks of long texts hold fewer. A group of several blocks
    merges the parts of its blocks through a few hubs of each, until that merges nothing; then all
    documents outside its largest part are compared with all of its blocks. So each link that matters for
    the components is looked at, while the pairs inside a part are not.
+5. Classes that hold texts of one ``doc_id`` are joined, and components take their smallest ``doc_id``.
 
 Steps 2 and 3 miss a pair of 85 % similarity with a probability below 1e-6 (ROWS, BANDS and the margin
 ``SIGMAS``); no bucket, group or number of partners is capped.
 
 Defined results: a null or word-free text has no shingles, is linked with nothing and is its own
-component. A null ``doc_id`` takes no part (null component, kept). Repeated rows with the same ``doc_id`` and
-text are one document, and both rows carry its result. An empty table gives no rows. Only ``doc_id``
-and ``text`` are read.
+component. A null ``doc_id`` takes no part (null component, kept). Rows with the same ``doc_id`` are one
+document: each row carries the size of its own set, and the links of all its texts lead to one component;
+rows without shingles stay their own. An empty table gives no rows. Only ``doc_id`` and ``text`` are read.
 """
 
 from __future__ import annotations
@@ -42,6 +44,7 @@ ROWS = 5
 BANDS = 2 * PERMUTATIONS // ROWS
 SIGMAS = 5  # a signature may agree less than the least similarity by so many standard deviations
 BLOCK = 1024
+LOAD_BYTES = 32 << 10
 SIGNATURE_BLOCK = 1024
 HUBS = 4
 
@@ -64,14 +67,15 @@ def _sketch(width: int):
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes, first, second, signatures = [], [], [], []
-            for shingles in shingle_sets(batch.column(1), width):
+            for shingles in shingle_sets(batch.column(2), width):
                 sizes.append(len(shingles))
                 first.append(int(shingles.sum(dtype=np.uint64).astype(np.int64)))
                 second.append(int(mixed(shingles).sum(dtype=np.uint64).astype(np.int64)))
                 signatures.append(signature(shingles).tobytes() if len(shingles) else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(first, pa.int64()), pa.array(second, pa.int64()),
-                 pa.array(signatures, pa.binary())], ["doc_id", "n_shingles", "f1", "f2", "signature"])
+                [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(first, pa.int64()),
+                 pa.array(second, pa.int64()), pa.array(signatures, pa.binary())],
+                ["doc_id", "text_hash", "n_shingles", "f1", "f2", "signature"])
     return sketch
 
 
@@ -173,9 +177,9 @@ def _exact_links(width: int, percent: int, keys: list[str]):
     return link
 
 
-def _in_cells(rows: DataFrame, keys: list[str], n_rows: int, per_cell: int):
-    """Group whole blocks into cells of about ``per_cell`` rows, as most blocks hold a few rows only."""
-    return rows.withColumn("cell", F.pmod(F.xxhash64(*keys), F.lit(max(1, n_rows // per_cell)))).groupBy("cell")
+def _in_cells(rows: DataFrame, keys: list[str], load: int, per_cell: int):
+    """Group whole blocks into cells of a load of about ``per_cell``, as most blocks hold a few rows only."""
+    return rows.withColumn("cell", F.pmod(F.xxhash64(*keys), F.lit(max(1, load // per_cell)))).groupBy("cell")
 
 
 def _labelled(rows: DataFrame, labels: DataFrame, name: str = "label") -> DataFrame:
@@ -187,11 +191,12 @@ def _labelled(rows: DataFrame, labels: DataFrame, name: str = "label") -> DataFr
 def _block_pairs(rows: DataFrame, group: list[str], block: int) -> DataFrame:
     """Rows of groups in several parts, set up as (probe block, member block) pairs.
 
+    Blocks have a load (the sum of column ``load``) of about ``block``.
     Probes are the rows outside the group's largest part (of equals, that with the smallest label);
     every probe block meets every member block. Blocks are drawn by hash, so no group is sorted by
     one task.
     """
-    sizes = rows.groupBy(*group, "label").agg(F.count(F.lit(1)).alias("n"))
+    sizes = rows.groupBy(*group, "label").agg(F.sum("load").alias("n"))
     top = sizes.groupBy(*group).agg(
         F.max(F.struct("n", (-F.col("label")).alias("l"))).alias("top"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("parts")
     ).where("parts > 1").select(
@@ -201,7 +206,7 @@ def _block_pairs(rows: DataFrame, group: list[str], block: int) -> DataFrame:
     draw = F.xxhash64(F.lit(7), "id")
     member = F.pmod(draw, F.col("ms")), F.explode(F.sequence(F.lit(0), F.col("ps") - 1)), F.lit(False)
     probe = F.explode(F.sequence(F.lit(0), F.col("ms") - 1)), F.pmod(draw, F.col("ps")), F.lit(True)
-    columns = [c for c in rows.columns if c not in ("main", "ms", "ps")]
+    columns = [c for c in rows.columns if c not in ("main", "ms", "ps", "load")]
 
     def placed(some: DataFrame, m, p, is_probe) -> DataFrame:
         return some.withColumn("m", m).withColumn("p", p).select(*columns, "m", "p", is_probe.alias("probe"))
@@ -224,7 +229,7 @@ def candidate_groups(scratch: Scratch, classes: DataFrame, percent: int) -> Data
     near = scratch.keep(pairs.mapInArrow(_agreeing(least), "a long, b long"), "near")
     groups = scratch.keep(components(scratch, near, "near-parts"), "near-groups")
 
-    rows = _labelled(shared.select("bucket", "id"), groups)
+    rows = _labelled(shared.select("bucket", "id", F.lit(1).alias("load")), groups)
     rows = scratch.keep(_block_pairs(rows, ["bucket"], SIGNATURE_BLOCK), "split-buckets")
     keys = ["bucket", "p", "m"]
     cells = _in_cells(rows.join(classes.select("id", "signature"), "id"), keys, rows.count(), 4 * SIGNATURE_BLOCK)
@@ -239,11 +244,13 @@ def confirmed_parts(scratch: Scratch, rows: DataFrame, width: int, percent: int)
     keys = ["group", "block"]
     link = _exact_links(width, percent, keys)
     schema = "a long, b long, degree long"
-    sizes = rows.groupBy("group").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
+    rows = rows.withColumn("load", 1 + F.floor(F.octet_length("text") / LOAD_BYTES))
+    sizes = rows.groupBy("group").agg(F.ceil(F.sum("load") / BLOCK).alias("blocks"))
     rows = rows.join(sizes, "group").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")))
     rows = scratch.keep(rows, "grouped")
     blocks = rows.select("group", "block", "id", "text", F.col("id").alias("label"), F.lit(True).alias("probe"))
-    found = scratch.keep(_in_cells(blocks, keys, rows.count(), BLOCK).applyInPandas(link, schema), "links-0")
+    load = rows.agg(F.sum("load")).first()[0] or 0
+    found = scratch.keep(_in_cells(blocks, keys, load, BLOCK).applyInPandas(link, schema), "links-0")
     large = rows.where("blocks > 1")
     links = found.where("a <> b").select("a", "b")
     parts = scratch.keep(components(scratch, links, "parts-0"), "labels-0")
@@ -253,15 +260,15 @@ def confirmed_parts(scratch: Scratch, rows: DataFrame, width: int, percent: int)
     step, new = 0, 1
     while new:  # merge through hubs until that merges nothing
         step += 1
-        labelled = _labelled(large.select("group", "id"), parts).join(degrees, "id")
-        rank = F.row_number().over(Window.partitionBy("group", "label", "slice").orderBy(F.desc("degree"), "id"))
-        # Slices keep a large part's ranking apart; parts of several slices have a few hubs of each.
-        labelled = labelled.withColumn("slice", F.pmod(F.xxhash64("id"), F.lit(64)))
-        hubs = labelled.withColumn("rank", rank).where(F.col("rank") <= 1).drop("rank")
+        labelled = _labelled(large.select("group", "id", "load"), parts).join(degrees, "id")
+        # The best of each of 64 slices, combined before the shuffle; the hubs are the best of these.
+        order = F.struct("degree", (-F.col("id")).alias("minus"), "load")
+        hubs = labelled.groupBy("group", "label", F.pmod(F.xxhash64("id"), F.lit(64)).alias("slice")).agg(F.max(order).alias("top"))
+        hubs = hubs.select("group", "label", (-F.col("top.minus")).alias("id"), "top.degree", "top.load")
         best = Window.partitionBy("group", "label").orderBy(F.desc("degree"), "id")
         hubs = hubs.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= HUBS)
         several = hubs.groupBy("group").agg(
-            F.ceil(F.count(F.lit(1)) / BLOCK).alias("n"), F.min("label").alias("low"), F.max("label").alias("high"))
+            F.ceil(F.sum("load") / BLOCK).alias("n"), F.min("label").alias("low"), F.max("label").alias("high"))
         hubs = hubs.select("group", "id", "label").join(several.where("low < high").drop("low", "high"), "group")
         hubs = hubs.withColumn("block", F.pmod(F.xxhash64(F.lit(step), "id"), F.col("n")))
         hubs = hubs.join(large.select("id", "text"), "id").withColumn("probe", F.lit(True))
@@ -271,7 +278,7 @@ def confirmed_parts(scratch: Scratch, rows: DataFrame, width: int, percent: int)
         if new:
             links = links.unionAll(fresh)
             parts = scratch.keep(components(scratch, links, f"parts-{step}"), f"labels-{step}")
-    rest = _labelled(large.select("group", "id"), parts)
+    rest = _labelled(large.select("group", "id", "load"), parts)
     rest = _block_pairs(rest, ["group"], BLOCK).join(large.select("id", "text"), "id")
     pair = ["group", "p", "m"]
     link = _exact_links(width, percent, pair)
@@ -280,23 +287,42 @@ def confirmed_parts(scratch: Scratch, rows: DataFrame, width: int, percent: int)
     return scratch.keep(components(scratch, links.unionAll(fresh), "parts-rest"), "labels-rest")
 
 
+def _same_document(known: DataFrame, classes: DataFrame, same: list[str]) -> DataFrame:
+    """Links between classes that hold texts of one ``doc_id``."""
+    several = " OR ".join(f"min({c}) < max({c})" for c in same)
+    reused = known.groupBy("doc_id").agg(F.expr(several).alias("several")).where("several").select("doc_id")
+    held = known.select("doc_id", *same).join(reused, "doc_id").join(classes.select(*same, "id"), same)
+    held = held.select("doc_id", F.col("id").alias("a")).distinct()
+    return held.join(held.groupBy("doc_id").agg(F.min("a").alias("b")), "doc_id").where("a <> b").select("a", "b")
+
+
 def near_duplicates(docs: DataFrame, shingle_words: int = 5, min_percent: int = 80) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept."""
     ship()
     scratch = Scratch(docs.sparkSession, "minhash")
     texts = docs.selectExpr("CAST(doc_id AS long) AS doc_id", "CAST(text AS string) AS text")
+    texts = texts.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")  # tells the texts of one doc_id apart
     sketches = scratch.keep(texts.mapInArrow(
-        _sketch(shingle_words), "doc_id long, n_shingles long, f1 long, f2 long, signature binary"), "sketches")
+        _sketch(shingle_words), "doc_id long, text_hash long, n_shingles long, f1 long, f2 long, signature binary"), "sketches")
     known = sketches.where("doc_id IS NOT NULL AND n_shingles > 0")
     same = ["f1", "f2", "n_shingles"]
-    classes = scratch.keep(known.groupBy(*same).agg(F.min("doc_id").alias("id"), F.first("signature").alias("signature")), "classes")
-    groups = candidate_groups(scratch, classes.select("id", "signature").dropDuplicates(["id"]), min_percent)
-    members = groups.select("id", F.col("component").alias("group"))
-    grouped = texts.join(members, texts["doc_id"] == members["id"]).select("id", "group", "text")
-    parts = scratch.keep(confirmed_parts(scratch, grouped, shingle_words, min_percent), "parts")
-    scratch.drop_all_but("sketches", "classes", "parts")
-    named = _labelled(classes.select(*same, "id"), parts, "component_id").drop("id")
-    rows = sketches.drop("signature").join(named, same, "left")
+    classes = known.groupBy(*same).agg(F.min(F.struct("doc_id", "text_hash")).alias("least"), F.first("signature").alias("signature"))
+    # Written before it is used, so every class keeps its number.
+    classes = scratch.keep(classes.select(*same, "least.*", "signature", F.monotonically_increasing_id().alias("id")), "classes")
+    groups = candidate_groups(scratch, classes.select("id", "signature"), min_percent)
+    members = groups.join(classes.select("id", "doc_id", "text_hash"), "id").withColumnRenamed("component", "group")
+    grouped = texts.join(members, ["doc_id", "text_hash"]).select("id", "group", "text")
+    parts = confirmed_parts(scratch, grouped, shingle_words, min_percent)
+    joined = scratch.keep(_same_document(known, classes, same), "same-document")
+    if joined.limit(1).count():
+        links = parts.select(F.col("id").alias("a"), F.col("component").alias("b")).unionAll(joined)
+        parts = components(scratch, links, "document-parts")
+    linked = parts.join(classes.select("id", "doc_id"), "id")
+    smallest = linked.groupBy("component").agg(F.min("doc_id").alias("smallest"))
+    linked = scratch.keep(linked.join(smallest, "component").select("id", "smallest"), "linked")
+    scratch.drop_all_but("sketches", "classes", "linked")
+    named = classes.join(linked, "id", "left").select(*same, F.coalesce("smallest", "doc_id").alias("component_id"))
+    rows = sketches.drop("signature", "text_hash").join(named, same, "left")
     component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     component = F.when(F.col("doc_id").isNotNull(), component)
     return rows.select("doc_id", "n_shingles", component.alias("component_id"),
