@@ -39,7 +39,7 @@ from skillscope.llm.words import WordBatch, portions, rolling
 WINDOW = 50
 PERIOD = 31
 COVER = (1, 5, 11, 24, 25, 27)  # every remainder modulo 31 is the difference of two of these
-SLICE_BYTES = 24 << 20  # text bytes for each slice of the hash range
+SLICE_BYTES = 12 << 20  # text bytes for each slice of the hash range
 
 _PACKED = "slice int, done boolean, first binary, second binary, doc binary, place binary"
 _PLACES = "doc_id long, place int"
@@ -149,13 +149,7 @@ def _settle(strict: bool):
         return pa.RecordBatch.from_arrays([pa.array(np.concatenate(docs)), pa.array(np.concatenate(places))], ["doc_id", "place"])
 
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[dict] = []
-        for batch in batches:  # sorted by slice
-            for row in batch.to_pylist():
-                if held and held[0]["slice"] != row["slice"]:
-                    yield settled(held)
-                    held = []
-                held.append(row)
+        held = [row for batch in batches for row in batch.to_pylist()]  # the whole of one slice
         if held:
             yield settled(held)
     return settle
@@ -228,9 +222,8 @@ def _cut(window: int):
 
 
 def _settled_places(rows: DataFrame, deal, settle, slices: int) -> DataFrame:
-    """Deal packed hashes out to the tasks of their slices and settle each slice."""
-    dealt = rows.mapInArrow(deal, _PACKED).repartition(slices, "slice").sortWithinPartitions("slice")
-    return dealt.mapInArrow(settle, _PLACES)
+    """Deal packed hashes out, one slice to a task, and settle each slice."""
+    return rows.mapInArrow(deal, _PACKED).repartitionById(slices, "slice").mapInArrow(settle, _PLACES)
 
 
 def repeated_passages(docs: DataFrame, window: int = WINDOW) -> tuple[DataFrame, DataFrame]:
@@ -254,6 +247,7 @@ def repeated_passages(docs: DataFrame, window: int = WINDOW) -> tuple[DataFrame,
     named = texts.where("doc_id IS NOT NULL")
     marks = _settled_places(named, _anchors(slices, window), _settle(False), slices)
     marks = marks.join(copies, "doc_id", "left_anti").groupBy("doc_id").agg(F.collect_set("place").alias("places"))
+    marks = scratch.keep(marks, "marks")  # its size decides whether the join has to move the texts
     marked = scratch.keep(named.join(marks, "doc_id"), "marked")
     covered = _settled_places(marked, _windows(slices, window), _settle(True), slices)
     covered = covered.groupBy("doc_id").agg(F.collect_list("place").alias("places"))
