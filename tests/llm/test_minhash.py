@@ -46,34 +46,6 @@ def test_edge_rows(spark):
     assert minhash.near_duplicates(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
-@pytest.mark.parametrize("percent", [80, 85])
-def test_one_id_with_two_texts(spark, percent):
-    a, b, c, d, e = (" ".join(f"{x}{i}" for i in range(60)) for x in "abcde")
-    rows = [(1, a), (1, b), (2, a + " more"), (3, b + " more"), (4, c), (9, c + " more"), (9, d), (8, d), (7, e), (7, e), (7, "")]
-    got = sorted(map(tuple, minhash.near_duplicates(spark.createDataFrame(rows, SCHEMA), 3, percent).drop("n_shingles").collect()))
-    assert got == sorted([(1, 1, True), (1, 1, True), (2, 1, False), (3, 1, False), (4, 4, True), (9, 4, False), (9, 4, False),
-                          (8, 4, False), (7, 7, True), (7, 7, True), (7, 7, True)])
-
-
-def test_blocks_hold_fewer_long_texts(spark, monkeypatch):
-    """A group of 24 texts that each count as 12 falls into blocks of about two, with the same components."""
-    monkeypatch.setattr(minhash, "BLOCK", 24)
-    monkeypatch.setattr(minhash, "LOAD_BYTES", 64)
-    made, exact = [], minhash._exact_links
-
-    def counted(width, percent, keys):
-        made.append(keys)
-        return exact(width, percent, keys)
-
-    monkeypatch.setattr(minhash, "_exact_links", counted)
-    base = [f"word{i}" for i in range(90)]
-    docs = [(i, " ".join(base[:i] + ["x"] + base[i + 1:])) for i in range(10, 34)]
-    got = {r["doc_id"]: (r["n_shingles"], r["component_id"], r["kept"])
-           for r in minhash.near_duplicates(spark.createDataFrame(docs, SCHEMA), 3, 85).collect()}
-    assert got == brute_components(docs, 3, 85)
-    assert ["group", "p", "m"] in made  # several blocks, though 24 rows alone would fill one
-
-
 def test_signature_is_unbiased():
     rng = np.random.default_rng(1)
     ratios = []
