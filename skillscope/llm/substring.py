@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skillscope.llm.scratch import Scratch
-from skillscope.llm.shipping import ship
+from skillscope.llm.shipping import bound_batches, ship
 from skillscope.llm.words import WordBatch, portions, rolling
 
 WINDOW = 50
@@ -195,10 +195,13 @@ def _windows(slices: int, window: int):
 
 def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        lists = [(x.as_py() or "").encode().split() for x in batch.column(1)]  # splits at exactly the six blanks
-        digests = [hashlib.sha256(b" ".join(words)).digest() for words in lists]
+        counts, digests = [], []
+        for text in batch.column(1):  # the words of one text at a time are held
+            words = (text.as_py() or "").encode().split()  # splits at exactly the six blanks
+            counts.append(len(words))
+            digests.append(hashlib.sha256(b" ".join(words)).digest())
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(map(len, lists), pa.int64()), pa.array(digests, pa.binary())], ["doc_id", "n_words", "digest"])
+            [batch.column(0), pa.array(counts, pa.int64()), pa.array(digests, pa.binary())], ["doc_id", "n_words", "digest"])
 
 
 def _cut(window: int):
@@ -234,6 +237,7 @@ def repeated_passages(docs: DataFrame, window: int = WINDOW) -> tuple[DataFrame,
     if window <= PERIOD:
         raise ValueError(f"a window needs more than {PERIOD} words")
     ship()
+    bound_batches(docs.sparkSession)
     scratch = Scratch(docs.sparkSession, "substring")
     texts = docs.selectExpr("CAST(doc_id AS long) AS doc_id", "CAST(text AS string) AS text")
     size = texts.select(F.sum(F.octet_length("text"))).first()[0] or 0

@@ -1,6 +1,8 @@
 import random
+import tracemalloc
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 from brute import passages
 
@@ -35,3 +37,16 @@ def test_cover_has_every_difference():
 
 def test_empty(spark):
     assert substring.passage_digests(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_digests_hold_the_words_of_one_text():
+    text = " ".join(f"w{i}" for i in range(1000))
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(300)), "text": [text] * 300})
+    tracemalloc.start()
+    try:
+        (out,) = substring._digests(iter([batch]))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert out.column(1).to_pylist() == [1000] * 300 and len(set(out.column(2).to_pylist())) == 1
+    assert peak < 2 << 20  # all 300 000 words at once take over 12 MB
