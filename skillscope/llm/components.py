@@ -66,7 +66,7 @@ def components(scratch: Scratch, edges: DataFrame, label: str) -> DataFrame:
     """
     ship()
     schema = "a long, b long"
-    edges = scratch.keep(edges.where("a <> b").select("a", "b"), f"{label}-edges")
+    edges = edges.where("a <> b").select("a", "b")
     edges, step = scratch.keep(edges.mapInArrow(_contracted, schema), f"{label}-0"), 0
     before = None
     while True:
