@@ -13,7 +13,9 @@ occurrences at least doubles with every form.
 
 Prefixes beyond ``LONG`` characters are sorted by two 64-bit hashes of theirs, made from running sums, so that
 a word of a million letters costs a million rows of fixed size. No group grows with the corpus, and words are
-counted in bounded tables per task before the shuffle.
+counted in bounded tables per task before the shuffle. Texts go to Python in batches of
+bounded size. A link knows whether its root is the last form, so a pass takes and stores only links that do not
+end yet, and no pass is made to find out that all do.
 
 Defined results: null or empty texts have no words; a null ``doc_id`` counts as empty text in the checksum.
 Repeated rows count as often as they are there. Equal counts are settled by code-point order. An empty
@@ -36,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skillscope.llm.scratch import Scratch
-from skillscope.llm.shipping import ship
+from skillscope.llm.shipping import bound_batches, ship
 from skillscope.llm.words import mixed, rolling
 
 END = "$"  # no letter
@@ -90,6 +92,7 @@ def word_counts(docs: DataFrame, min_chars: int = MIN_CHARS, min_count: int = MI
     ``doc_id:run``: known misspellings to measure with.
     """
     ship()
+    bound_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     counted = rows.mapInArrow(_counting(min_chars, misspell_every), "word string, n long")
     return counted.groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") >= min_count)
@@ -224,17 +227,19 @@ def spelling_variants(words: DataFrame, ratio: int = 2) -> DataFrame:
         "word", "n", F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"),
         F.when(is_form, F.col("best")).alias("form"), F.when(is_form, F.col("best_n")).alias("form_n"))
     rows = scratch.keep(rows, "rows")
-    links = scratch.keep(rows.where("form IS NOT NULL").select("word", F.col("form").alias("root")), "links-0")
-    step, moved = 0, 1
-    while moved:  # each pass doubles the number of forms that are followed
+    following = rows.where("form IS NOT NULL").select("word", F.col("form").alias("root"), F.lit(False).alias("ended"))
+    ended, step, onward = None, 0, True
+    while onward:  # each pass doubles the number of forms that are followed
         step += 1
-        onward = links.select(F.col("word").alias("root"), F.col("root").alias("next"))
-        longer = links.join(onward, "root", "left").select(
-            "word", F.coalesce("next", "root").alias("root"), F.col("next").isNotNull().alias("moved"))
-        longer = scratch.keep(longer, f"links-{step}")
-        scratch.drop(f"links-{step - 1}")
-        moved = longer.where("moved").limit(1).count()
-        links = longer.select("word", "root")
+        known = following if ended is None else following.unionByName(ended)
+        further = known.select(F.col("word").alias("root"), F.col("root").alias("next"), F.col("ended").alias("next_ended"))
+        # A root without a form of its own is the last, and so is what an ended link of the root leads to.
+        links = following.join(further, "root", "left").select(
+            "word", F.coalesce("next", "root").alias("root"), F.coalesce("next_ended", F.lit(True)).alias("ended"))
+        links = scratch.keep(links, f"links-{step}")
+        ended = links.where("ended") if ended is None else ended.unionByName(links.where("ended"))
+        following = links.where("NOT ended")
+        onward = following.limit(1).count()
     scratch.drop("words")
-    return rows.join(links, "word", "left").select(
+    return rows.join(ended.drop("ended"), "word", "left").select(
         "word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")

@@ -5,6 +5,8 @@ from collections import Counter
 
 import pytest
 
+from skillscope.llm import shipping
+from skillscope.llm.scratch import Scratch
 from skillscope.llm.spelling import LONG, spelling_variants, word_counts
 
 ALPHABET = [chr(c) for c in (*range(97, 123), *range(0xC0, 0x100))]
@@ -87,3 +89,29 @@ def test_a_million_letters(spark):
 
 def test_empty(spark):
     assert spelling_variants(word_counts(spark.createDataFrame([], "doc_id long, text string"))).count() == 0
+
+
+@pytest.mark.parametrize("hops, stored", [(0, [0]), (1, [1]), (2, [2, 1]), (3, [3, 2]), (4, [4, 3, 1]), (7, [7, 6, 4]), (8, [8, 7, 5, 1])])
+def test_passes_store_only_links_without_an_end(spark, monkeypatch, hops, stored):
+    kept = {}
+    keep = Scratch.keep
+
+    def noted(self, df, name):
+        kept[name] = (table := keep(self, df, name)).count()
+        return table
+
+    monkeypatch.setattr(Scratch, "keep", noted)
+    counts = {"b" * i + "a" * (9 - i): 3 << i for i in range(hops + 1)}  # each is a form of the one before
+    words = spark.createDataFrame(list(counts.items()), "word string, n long")
+    assert set(map(tuple, spelling_variants(words).collect())) == variants(counts)
+    assert kept == {"words": hops + 1, "rows": hops + 1, **{f"links-{i + 1}": n for i, n in enumerate(stored)}}
+
+
+def test_texts_are_counted_in_batches_of_bounded_size(spark):
+    spark.conf.unset(shipping._LIMIT)
+    try:
+        words = word_counts(spark.range(24).coalesce(1).selectExpr("id AS doc_id", "repeat('abcde ', 1 << 18) AS text"))
+        assert [tuple(r) for r in words.collect()] == [("abcde", 24 << 18)]
+        assert spark.conf.get(shipping._LIMIT) == str(shipping.BATCH_BYTES)
+    finally:
+        spark.conf.unset(shipping._LIMIT)
